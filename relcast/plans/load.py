@@ -38,10 +38,12 @@ def write_full(df: DataFrame, target: str, partition_by: str | None = None) -> N
 def replace_periods(df: DataFrame, target: str, period_col: str = PERIOD) -> None:
     """K3: rewrite exactly the periods present in ``df``; other periods untouched.
 
-    Rows are clustered by period before the write so each task writes few
-    period folders (one shuffle on a low-cardinality key, sized by AQE).
+    No shuffle before the write: a release file holds one period, so each scan
+    split already carries a single period and its task writes its own files.
+    (Clustering by period would put a whole period — possibly a third of all
+    rows — into one task.)
     """
-    clustered = df.repartition(period_col)
+    clustered = df
     if _is_path(target):
         (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(period_col).parquet(target))

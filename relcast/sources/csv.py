@@ -11,15 +11,21 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relcast.functions.headers import resolve_header
 
+# The header reader runs in Python workers; ship this module's functions by
+# value so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILE_PATH = "_file_path"
 _HEADER_SCHEMA = "path string, header array<string>"
 
