@@ -64,7 +64,10 @@ def ingest_snapshots(spark: SparkSession, spec: TableSpec, folder: str, target:
     files = discover(spark, spec, folder)
     loaded = read_loaded(spark, target)
     if loaded is not None:
-        files = pending_files(files, loaded_periods(loaded), on=("data_date",), loaded_on=(PERIOD,))
+        file_keys = {PERIOD: "data_date", "_source_file_name": "file_name"}
+        on = tuple(file_keys[k] for k in spec.pending_on)
+        done = loaded.select(*spec.pending_on).distinct()
+        files = pending_files(files, done, on=on, loaded_on=spec.pending_on)
     if files.limit(1).count() > 0:
         append_snapshots(prepare(spark, spec, files), target)
     return read_table(spark, target)
@@ -89,6 +92,22 @@ def ingest_reference(spark: SparkSession, spec: TableSpec, folder: str, target:
     return read_table(spark, target)
 
 
+def ingest_categories(spark: SparkSession, spec: TableSpec, folder: str, target: str, word: str = "specialty",
+                      key: str = "npi", order: Sequence[str] = ("last_updated", "optout_end_date")) -> DataFrame:
+    """C3 end to end: all monthly files, latest row per key, corrected categories, whole table replaced."""
+    files = discover(spark, spec, folder)
+    write_full(clean_categories(prepare(spark, spec, files), word, key, list(order)), target)
+    return read_table(spark, target)
+
+
+def ingest_catalog(spark: SparkSession, catalog_path: str, target: str) -> DataFrame:
+    """S4 + K1: the release catalogue flattened into one row per distribution."""
+    from relcast.sources.catalog import flatten_catalog, read_catalog
+
+    write_full(flatten_catalog(read_catalog(spark, catalog_path)), target)
+    return read_table(spark, target)
+
+
 def clean_categories(df: DataFrame, word: str, key: str, order: Sequence[str | Column],
                      period: str = PERIOD) -> DataFrame:
     """Latest row per (period, key), then frequency-guided spelling correction of ``word``."""

@@ -1 +1,55 @@
-"""relcast.specs."""
+"""Declarative specs of every published feed and a runner that loads a feed by name.
+
+``run_feed(spark, name, source_root, target_root)`` reads release files from
+``<source_root>/<folder>`` and writes the table to ``<target_root>/<name>``
+with the load mode of the feed's job (period replace, snapshot append,
+newest-only, full replace with corrections).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from relcast.plans import jobs
+from relcast.specs.snapshots import (
+    CATEGORY_SPECS,
+    FACILITY_TYPES,
+    LATEST_SPECS,
+    REFERENCE_SPECS,
+    SNAPSHOT_SPECS,
+)
+from relcast.specs.utilisation import UTILISATION_SPECS
+
+JOBS = {
+    "period": jobs.ingest_periods,
+    "append": jobs.ingest_snapshots,
+    "latest": jobs.ingest_latest,
+    "full": jobs.ingest_reference,
+}
+
+FEEDS = {**UTILISATION_SPECS, **SNAPSHOT_SPECS, **LATEST_SPECS, **REFERENCE_SPECS, **CATEGORY_SPECS}
+
+
+def source_folder(name: str) -> str:
+    """Release folder of a feed: utilisation sub-levels share their family's folder;
+    hospice owner files are routed to the owner feed's own folder."""
+    if name in UTILISATION_SPECS:
+        return name.split("_", 1)[0]
+    return name
+
+
+def run_feed(spark: SparkSession, name: str, source_root: str, target_root: str) -> DataFrame:
+    spec = FEEDS[name]
+    folder = f"{source_root.rstrip('/')}/{source_folder(name)}"
+    target = f"{target_root.rstrip('/')}/{name}"
+    if name in CATEGORY_SPECS:
+        return jobs.ingest_categories(spark, spec, folder, target)
+    return JOBS[spec.load](spark, spec, folder, target)
+
+
+def run_crosswalk(spark: SparkSession, target_root: str) -> DataFrame:
+    """C4 over the six enrolled-facility tables."""
+    root = target_root.rstrip("/")
+    out = jobs.build_crosswalk(spark, {t: f"{root}/pc_{t}" for t in FACILITY_TYPES})
+    jobs.write_full(out, f"{root}/otherid_ccn_se")
+    return out
