@@ -786,3 +786,20 @@ def q_table_docs(spark, sf):
     table_comment = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'").select(
         F.lit("<table>").alias("col_name"), F.lit("").alias("data_type"), F.col("data_type").alias("comment"))
     return cols.unionByName(table_comment)
+
+
+# =========================================================== streaming (ST)
+
+@query("stream_snapshots", _PERIOD_AGG_SQL)
+def q_stream_snapshots(spark, sf):
+    """File-source stream over the current releases; each micro-batch replaces its periods."""
+    from relcast.streaming.file_ingest import stream_ingest
+
+    folder = fx.order_releases(spark, sf)
+    target = scratch_path(spark, "stream_snapshots")
+    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "globs": ("*ry2021*_prov.csv", "*ry2021*_PROV.csv")})
+    q = stream_ingest(spark, spec, folder, target)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return _period_agg(read_table(spark, target))
