@@ -23,10 +23,32 @@ SOURCE_NAME = "_source_file_name"
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only when the side is proven small (counted, stops at ``max_rows + 1``)."""
-    n = df.limit(max_rows + 1).count()
+    known = getattr(df, "_relcast_rows", None)
+    n = known if known is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
+MAX_LISTED_FILES = 1_000_000
+
+
+def materialise_listing(files: DataFrame, max_files: int = MAX_LISTED_FILES) -> DataFrame:
+    """Evaluate a (small) file listing once and keep it as a local relation.
+
+    A listing has one row per file — metadata the driver's file index already
+    holds — so this bounds nothing by data volume. Later uses (header read,
+    provenance broadcast) then reuse it instead of re-listing and re-ranking.
+    """
+    if isinstance(getattr(files, "_relcast_local", None), bool):
+        return files
+    rows = files.limit(max_files + 1).collect()
+    if len(rows) > max_files:
+        raise ValueError(f"more than {max_files} release files in one job; split the load by period")
+    local = files.sparkSession.createDataFrame(rows, files.schema)
+    local._relcast_local = True
+    local._relcast_rows = len(rows)
+    return local
+
+
 def with_file_dates(listing: DataFrame, date_rule: str, release_rule: str = "none") -> DataFrame:
     """Adds ``data_date`` and ``release_date`` parsed from each file name."""
     return listing.withColumns(
@@ -74,7 +96,9 @@ def with_provenance(df: DataFrame, files: DataFrame, source_name: bool = True) -
     ``files`` has ``path`` and ``data_date``; one row per file, so it is
     broadcast after a size check rather than evaluated as a literal per file.
     """
+    files = materialise_listing(files)
     meta = files.select(F.col("path").alias(FILE_PATH), F.col("data_date").alias(PERIOD))
     if source_name:
         meta = meta.withColumn(SOURCE_NAME, name_of(FILE_PATH))
-    return df.join(broadcast_if_small(meta), FILE_PATH, "inner").drop(FILE_PATH)
+    meta = F.broadcast(meta) if files._relcast_rows <= BROADCAST_MAX_ROWS else meta
+    return df.join(meta, FILE_PATH, "inner").drop(FILE_PATH)

@@ -15,6 +15,7 @@ from relcast.operators.releases import (
     PERIOD,
     latest_release,
     loaded_periods,
+    materialise_listing,
     pending_files,
     with_file_dates,
     with_provenance,
@@ -34,6 +35,7 @@ def discover(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
 
 def prepare(spark: SparkSession, spec: TableSpec, files: DataFrame) -> DataFrame:
     """Scan → broken-row filter → typing → id explode → provenance → projection/dedupe."""
+    files = materialise_listing(files)
     raw = scan_csv(spark, files, spec.renames, spec.encoding, spec.multi_line)
     for column, marker in spec.malformed.items():
         if column in raw.columns:
@@ -68,7 +70,8 @@ def ingest_snapshots(spark: SparkSession, spec: TableSpec, folder: str, target:
         on = tuple(file_keys[k] for k in spec.pending_on)
         done = loaded.select(*spec.pending_on).distinct()
         files = pending_files(files, done, on=on, loaded_on=spec.pending_on)
-    if files.limit(1).count() > 0:
+    files = materialise_listing(files)
+    if files._relcast_rows > 0:
         append_snapshots(prepare(spark, spec, files), target)
     return read_table(spark, target)
 

@@ -76,15 +76,13 @@ def scan_csv(
     """
     if not isinstance(files, DataFrame):
         files = spark.createDataFrame([(p,) for p in files], "path string")
-    # One row per distinct header: bounded by the number of header vintages.
-    groups = (
-        read_headers(files, encoding)
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
+    # One row per file (metadata), grouped by header on the driver.
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in read_headers(files, encoding).collect():
+        groups.setdefault(tuple(row["header"]), []).append(row["path"])
     parts = []
-    for row in groups:
+    for header, paths in groups.items():
+        row = {"header": header, "paths": paths}
         raw = list(row["header"])
         names = resolve_header(raw, renames) if normalise else raw
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
