@@ -30,16 +30,20 @@ FILE_PATH = "_file_path"
 _HEADER_SCHEMA = "path string, header array<string>"
 
 
-def _fs_uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path
+def _open_fs(path: str):
+    """(filesystem, path) for a listing path (listing paths are not URI-escaped)."""
+    from urllib.parse import quote
 
-
-def _first_line(path: str, encoding: str) -> list[str]:
     from pyarrow import fs as pafs
 
-    filesystem, inner = pafs.FileSystem.from_uri(_fs_uri(path))
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        return pafs.LocalFileSystem(), ("/" + local.lstrip("/")) if local.startswith("//") else local
+    return pafs.FileSystem.from_uri(quote(path, safe=":/@?&=+$,;~!*'()"))
+
+
+def _first_line(path: str, encoding: str) -> list[str]:
+    filesystem, inner = _open_fs(path)
     buf = b""
     with filesystem.open_input_stream(inner) as stream:
         while b"\n" not in buf:
@@ -51,6 +55,29 @@ def _first_line(path: str, encoding: str) -> list[str]:
     return next(csv.reader(io.StringIO(line)), [])
 
 
+def scan_file_path():
+    """The scan's file path in the listing's (unescaped) form.
+
+    ``_metadata.file_path`` is URI-escaped (space → %20, % → %25) while file
+    listings are not; decode it, keeping a literal ``+`` as ``+``.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def read_headers_jvm(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """Fallback header read on the JVM: first line of each file's first split."""
+    paths = [r["path"] for r in files.select("path").collect()]
+    lines = (spark.read.option("encoding", encoding).text(paths)
+             .select(scan_file_path().alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("pos"))
+             .where("start = 0")
+             .groupBy("path").agg(F.min_by("value", "pos").alias("line")))
+    # Split on commas outside quotes, then unquote each field ("" → ").
+    fields = F.split(F.regexp_replace("line", "^\uFEFF|\r$", ""), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    unquoted = F.transform(fields, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
+    return lines.select("path", unquoted.alias("header"))
+
+
 def read_headers(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """(path, header) for every file in a listing; each task opens only its own files' first line."""
 
@@ -78,7 +105,11 @@ def scan_csv(
         files = spark.createDataFrame([(p,) for p in files], "path string")
     # One row per file (metadata), grouped by header on the driver.
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in read_headers(files, encoding).collect():
+    try:
+        heads = read_headers(files, encoding).collect()
+    except Exception:  # a file system the Python workers cannot open: read headers on the JVM
+        heads = read_headers_jvm(spark, files, encoding).collect()
+    for row in heads:
         groups.setdefault(tuple(row["header"]), []).append(row["path"])
     parts = []
     for header, paths in groups.items():
@@ -96,7 +127,7 @@ def scan_csv(
             .option("mode", "PERMISSIVE")
             .csv(sorted(row["paths"]))
         )
-        parts.append(df.select(*[F.col(f"`{n}`") for n in names], F.col("_metadata.file_path").alias(FILE_PATH)))
+        parts.append(df.select(*[F.col(f"`{n}`") for n in names], scan_file_path().alias(FILE_PATH)))
     if not parts:
         raise FileNotFoundError("no files to scan")
     out = parts[0]
@@ -114,5 +145,5 @@ def scan_csv_typed(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
         .csv(list(paths))
-        .select("*", F.col("_metadata.file_path").alias(FILE_PATH))
+        .select("*", scan_file_path().alias(FILE_PATH))
     )

@@ -105,3 +105,22 @@ def test_crosswalk_fixture(spark):
     assert (r.other_id_dt_s, r.other_id_dt_e) == (d(2024, 1, 1), d(2024, 3, 1))
     assert r.other_id_state is None  # earliest period has no state
     assert r.other_id_token == "330125^06^^MEDICARE^CCN^2024-01-01^2024-03-01"
+
+
+def test_download_names_and_owner_date_rule(spark):
+    from relcast.operators.feeds import release_file_names
+    from relcast.operators.typed import type_of
+    from relcast.specs import FEEDS
+    from relcast.specs.utilisation import DME_DOWNLOAD_RENAMES
+
+    messy = next(iter(DME_DOWNLOAD_RENAMES))
+    df = spark.createDataFrame([(f"https://x/y/{messy}", "T"), ("https://x/y/plain.csv", "Revalidation List!")],
+                               "downloadURL string, title string")
+    names = [r.file_name for r in release_file_names(df, "url", DME_DOWNLOAD_RENAMES).collect()]
+    assert names == [DME_DOWNLOAD_RENAMES[messy], "plain.csv"]
+    titles = [r.file_name for r in release_file_names(df, "title").collect()]
+    assert titles == ["t.csv", "revalidationlist.csv"]
+    owner = FEEDS["pc_hospice_owner"]
+    assert type_of("association_date_owner", owner)[0] == "date_strict"
+    assert type_of("owner_name", owner)[0] == "string"
+    assert type_of("bene_cc_ph_asthma_v2_pct", FEEDS["muppac_geo"])[0] == "double"

@@ -59,3 +59,20 @@ def test_catalog_flatten(spark, tmp_folder):
     assert one.mediaType == "" and one.accessURL == "" and one.downloadURL == "u1"
     assert json.loads(one.bureauCode) == ["009:38"]
     assert flat.where(F.col("mediaType") == "text/csv").count() == 2
+
+
+def test_names_with_spaces_percent_and_plus_keep_provenance(spark, tmp_folder):
+    from relcast.operators.releases import with_file_dates, with_provenance
+
+    write(os.path.join(tmp_folder, "a b%20c+d_2013.csv"), 'A,"B, x"\n1,2\n')
+    files = with_file_dates(list_releases(spark, tmp_folder, ("*.csv",)), "last4_year")
+    rows = with_provenance(scan_csv(spark, files), files).collect()
+    assert [(r.a, r.b_x, r._source_file_name) for r in rows] == [("1", "2", "a b%20c+d_2013.csv")]
+
+
+def test_jvm_header_fallback(spark, tmp_folder):
+    from relcast.sources.csv import read_headers_jvm
+
+    write(os.path.join(tmp_folder, "h.csv"), '﻿A,"B, x","C ""q"""\n1,2,3\n')
+    files = list_releases(spark, tmp_folder, ("*.csv",))
+    assert [r.header for r in read_headers_jvm(spark, files).collect()] == [["A", "B, x", 'C "q"']]
