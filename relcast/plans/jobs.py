@@ -72,7 +72,7 @@ def ingest_snapshots(spark: SparkSession, spec: TableSpec, folder: str, target:
         files = pending_files(files, done, on=on, loaded_on=spec.pending_on)
     files = materialise_listing(files)
     if files._relcast_rows > 0:
-        append_snapshots(prepare(spark, spec, files), target)
+        append_snapshots(prepare(spark, spec, files), target, tuple(spec.pending_on))
     return read_table(spark, target)
 
 

@@ -35,7 +35,7 @@ def write_full(df: DataFrame, target: str, partition_by: str | None = None) -> N
         w.format("parquet").saveAsTable(target)
 
 
-def replace_periods(df: DataFrame, target: str, period_col: str = PERIOD) -> None:
+def replace_periods(df: DataFrame, target: str, period_col: str | tuple[str, ...] = PERIOD) -> None:
     """K3: rewrite exactly the periods present in ``df``; other periods untouched.
 
     No shuffle before the write: a release file holds one period, so each scan
@@ -44,13 +44,14 @@ def replace_periods(df: DataFrame, target: str, period_col: str = PERIOD) -> Non
     rows — into one task.)
     """
     clustered = df
+    keys = [period_col] if isinstance(period_col, str) else list(period_col)
     if _is_path(target):
         (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(period_col).parquet(target))
+         .partitionBy(*keys).parquet(target))
         return
     spark = df.sparkSession
     if not spark.catalog.tableExists(target):
-        clustered.write.format("parquet").partitionBy(period_col).saveAsTable(target)
+        clustered.write.format("parquet").partitionBy(*keys).saveAsTable(target)
         return
     # insertInto is positional: align to the table's column order first.
     cols = spark.table(target).columns
@@ -59,11 +60,13 @@ def replace_periods(df: DataFrame, target: str, period_col: str = PERIOD) -> Non
     aligned.write.insertInto(target, overwrite=True)
 
 
-def append_snapshots(df: DataFrame, target: str, period_col: str = PERIOD) -> None:
+def append_snapshots(df: DataFrame, target: str, period_col: str | tuple[str, ...] = PERIOD) -> None:
     """K2: add new snapshot periods (the caller passes only pending files' rows).
 
     Written as a dynamic partition overwrite, so a retried or repeated run of
-    the same periods replaces instead of duplicating.
+    the same periods replaces instead of duplicating. Feeds that publish
+    several files per date are keyed (and partitioned) by date and file name,
+    so a late second file of a date does not replace the first.
     """
     replace_periods(df, target, period_col)
 
@@ -74,4 +77,10 @@ def evolve(df: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def read_loaded(spark: SparkSession, target: str) -> DataFrame | None:
-    return read_table(spark, target) if table_exists(spark, target) else None
+    """The loaded table for period bookkeeping only: no schema merge (no footer reads),
+    the period and file-name columns are all that is selected from it."""
+    if not table_exists(spark, target):
+        return None
+    if "/" not in target and ":" not in target:
+        return spark.read.table(target)
+    return spark.read.parquet(target)

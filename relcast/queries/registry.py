@@ -55,7 +55,7 @@ from relcast.plans.jobs import (
     prepare,
     release_selection,
 )
-from relcast.plans.load import append_snapshots, replace_periods, write_full
+from relcast.plans.load import append_snapshots, read_loaded, replace_periods, write_full
 from relcast.queries import fixtures as fx
 from relcast.queries.oracle_sql import (
     ccn_remap_sql,
@@ -227,7 +227,7 @@ SELECT {_order_file_sql('r')} AS file_name, make_date(y, 12, 31) AS data_date FR
 """)
 def q_pending_files(spark, sf):
     folder = fx.order_releases(spark, sf)
-    loaded = read_table(spark, _loaded_orders(spark, sf))
+    loaded = read_loaded(spark, _loaded_orders(spark, sf))
     files = discover(spark, fx.ORDERS_SPEC, folder)
     return pending_files(files, loaded_periods(loaded)).select("file_name", "data_date")
 
@@ -236,7 +236,7 @@ def q_pending_files(spark, sf):
 SELECT DISTINCT make_date(year(o_orderdate), 12, 31) AS _input_file_date FROM orders WHERE year(o_orderdate) < 1998
 """)
 def q_loaded_periods(spark, sf):
-    return loaded_periods(read_table(spark, _loaded_orders(spark, sf)))
+    return loaded_periods(read_loaded(spark, _loaded_orders(spark, sf)))
 
 
 # =========================================================== load modes (K1-K4)
@@ -284,7 +284,7 @@ def q_snapshot_append(spark, sf):
     first = files.where(F.year("data_date") < fx.NEW_VINTAGE_FROM)
     append_snapshots(prepare(spark, fx.ORDERS_SPEC, first), target)
     for _ in range(2):  # second round finds nothing pending: appending is idempotent
-        pending = pending_files(files, loaded_periods(read_table(spark, target)))
+        pending = pending_files(files, loaded_periods(read_loaded(spark, target)))
         if pending.limit(1).count():
             append_snapshots(prepare(spark, fx.ORDERS_SPEC, pending), target)
     return _period_agg(read_table(spark, target))

@@ -45,7 +45,12 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(hconf)
-    return bool(fs.exists(path)) and bool(fs.exists(jvm.org.apache.hadoop.fs.Path(target + "/_SUCCESS")))
+    if not fs.exists(path):
+        return False
+    # Holds data: any entry that is not a marker, summary or staging entry.
+    markers = {"_SUCCESS", "_temporary", "_common_metadata", "_metadata", "_spark_metadata"}
+    names = [st.getPath().getName() for st in fs.listStatus(path)]
+    return any(not n.startswith(".") and n not in markers and not n.startswith(".spark-staging") for n in names)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:

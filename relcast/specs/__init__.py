@@ -47,9 +47,10 @@ def run_feed(spark: SparkSession, name: str, source_root: str, target_root: str)
     return JOBS[spec.load](spark, spec, folder, target)
 
 
-def run_crosswalk(spark: SparkSession, target_root: str) -> DataFrame:
-    """C4 over the six enrolled-facility tables."""
+def run_crosswalk(spark: SparkSession, target_root: str, use_remapped: bool = False) -> DataFrame:
+    """C4 over the six enrolled-facility tables (raw CCN by default, or the remapped one)."""
     root = target_root.rstrip("/")
-    out = jobs.build_crosswalk(spark, {t: f"{root}/pc_{t}" for t in FACILITY_TYPES})
+    out = jobs.build_crosswalk(spark, {t: f"{root}/pc_{t}" for t in FACILITY_TYPES},
+                               id_col="ccn_remapped" if use_remapped else "ccn")
     jobs.write_full(out, f"{root}/otherid_ccn_se")
     return out
