@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from relcast.functions.common import as_col
 from relcast.functions.text import phonetic_key, within_edits2
-from relcast.operators.releases import broadcast_if_small
+from relcast.operators.releases import BROADCAST_MAX_ROWS, broadcast_if_small
 
 MAX_CHAIN_ROUNDS = 64
 
@@ -71,9 +71,11 @@ def resolve_chains(best: DataFrame) -> DataFrame:
     checkpointed to the session's checkpoint folder to keep lineage short.
     """
     m = best.select("b", "a").checkpoint()
+    # One row per rare word in every round: the size check is done once.
+    small = m.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     for _ in range(MAX_CHAIN_ROUNDS):
         nxt = m.select(F.col("b").alias("_b"), F.col("a").alias("_a"))
-        step = m.join(broadcast_if_small(nxt), m["a"] == nxt["_b"], "left").select(
+        step = m.join(F.broadcast(nxt) if small else nxt, m["a"] == nxt["_b"], "left").select(
             "b", F.coalesce("_a", "a").alias("a"), F.col("_a").isNotNull().alias("_moved")
         ).checkpoint()
         if step.where("_moved").limit(1).count() == 0:
