@@ -672,13 +672,14 @@ def q_release_names(spark, sf):
 
 @query("missing_releases", """
 SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name FROM pages p
-WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.page_id % 3 = 0
+WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.url LIKE 'https://%'
                   AND regexp_extract(q.url, '[^/]*$') = regexp_extract(p.url, '[^/]*$'))
 """)
 def q_missing_releases(spark, sf):
     pg = t(spark, sf, "pages")
     wanted = pg.select("page_id", url_file_name("url").alias("file_name"))
-    present = pg.where(F.col("page_id") % 3 == 0).select(url_file_name("url").alias("file_name"))
+    # Files already fetched: those published over https.
+    present = pg.where(F.col("url").startswith("https://")).select(url_file_name("url").alias("file_name"))
     return missing_downloads(wanted, present, "file_name")
 
 
@@ -688,16 +689,17 @@ TITLE_FEEDS = {"feed_de": "de", "feed_ou": "ou", "feed_le": "le"}
 
 @query("release_selection", f"""
 WITH cat AS ({_CATALOG_SQL}),
-sel AS (SELECT f.feed, cat.downloadURL, regexp_extract(cat.downloadURL, '[^/]*$') AS file_name, conv_part
-        FROM (SELECT *, CAST(regexp_extract(downloadURL, '/c/([0-9]+)/', 1) AS BIGINT) AS conv_part FROM cat) cat
+sel AS (SELECT f.feed, cat.downloadURL, regexp_extract(cat.downloadURL, '[^/]*$') AS file_name, CAST(cat.modified AS BIGINT) AS turn
+        FROM cat
         JOIN (VALUES ('feed_de', 'de'), ('feed_ou', 'ou'), ('feed_le', 'le')) f(feed, phrase) ON contains(cat.title, f.phrase)
         WHERE cat.mediaType = 'text/csv')
-SELECT feed, downloadURL, file_name FROM sel WHERE conv_part % 4 <> 0
+SELECT feed, downloadURL, file_name FROM sel WHERE turn > 1
 """)
 def q_release_selection(spark, sf):
     cat = flatten_catalog(read_catalog(spark, fx.catalog_json(spark, sf), multi_line=False))
     conv = t(spark, sf, "conversations")
-    present = conv.where(F.col("conv_id") % 4 == 0).select(
+    # Files already fetched: the first two turns of every conversation.
+    present = conv.where(F.col("turn") <= 1).select(
         F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("_turn_"), F.col("turn").cast("string"),
                  F.lit(".csv")).alias("file_name"))
     return release_selection(cat, TITLE_FEEDS, present).select("feed", "downloadURL", "file_name")
