@@ -14,7 +14,6 @@ from relcast.operators.feeds import plan_downloads
 from relcast.operators.releases import (
     PERIOD,
     latest_release,
-    loaded_periods,
     materialise_listing,
     pending_files,
     with_file_dates,

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relcast.sources.files import read_table, table_exists
+from relcast.sources.files import table_exists
 
 PERIOD = "_input_file_date"
 

@@ -33,7 +33,7 @@ from relcast.operators.categories import (
 )
 from relcast.operators.crosswalk import id_crosswalk
 from relcast.operators.dedupe import distinct_rows, drop_marked_rows, explode_ids, latest_per_key
-from relcast.operators.feeds import release_file_names, select_feeds, tag_feeds
+from relcast.operators.feeds import tag_feeds
 from relcast.operators.releases import (
     PERIOD,
     latest_release,
@@ -44,7 +44,7 @@ from relcast.operators.releases import (
     with_provenance,
 )
 from relcast.operators.typed import apply_types
-from relcast.plans.docs import column_docs, document, register_table
+from relcast.plans.docs import column_docs
 from relcast.plans.jobs import (
     clean_categories,
     discover,
