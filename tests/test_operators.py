@@ -124,3 +124,11 @@ def test_download_names_and_owner_date_rule(spark):
     assert type_of("association_date_owner", owner)[0] == "date_strict"
     assert type_of("owner_name", owner)[0] == "string"
     assert type_of("bene_cc_ph_asthma_v2_pct", FEEDS["muppac_geo"])[0] == "double"
+
+
+def test_latest_snapshot_keeps_only_newest_date(spark):
+    from relcast.operators.releases import latest_snapshot
+
+    d = dt.date
+    df = spark.createDataFrame([(1, d(2024, 1, 1)), (2, d(2024, 1, 2)), (3, d(2024, 1, 2)), (4, None)], "v int, day date")
+    assert sorted(r.v for r in latest_snapshot(df, "day").collect()) == [2, 3]
