@@ -53,6 +53,12 @@ def replace_periods(df: DataFrame, target: str, period_col: str | tuple[str, ...
     if not spark.catalog.tableExists(target):
         clustered.write.format("parquet").partitionBy(*keys).saveAsTable(target)
         return
+    # K4: columns new in this load are added to the table first (older periods read null).
+    existing = {f.name for f in spark.table(target).schema}
+    added = [f for f in df.schema if f.name not in existing]
+    if added:
+        spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({spec})")
     # insertInto is positional: align to the table's column order first.
     cols = spark.table(target).columns
     aligned = clustered.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols])

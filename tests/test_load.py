@@ -20,3 +20,18 @@ def test_full_replace(spark, tmp_folder):
     write_full(spark.createDataFrame([(1,)], "v int"), target)
     write_full(spark.createDataFrame([(2,)], "v int"), target)
     assert [r.v for r in read_table(spark, target).collect()] == [2]
+
+
+def test_catalog_table_period_replace_with_new_column(spark):
+    import uuid
+
+    name = "relcast_t_" + uuid.uuid4().hex[:8]
+    d1, d2 = dt.date(2023, 12, 31), dt.date(2024, 12, 31)
+    replace_periods(spark.createDataFrame([(1, "a", d1), (2, "b", d2)], "v int, s string, _input_file_date date"), name)
+    # columns in another order, plus a new one: aligned by name, the new column added
+    new = spark.createDataFrame([("x", d2, 3, 9.5)], "s string, _input_file_date date, v int, extra double")
+    replace_periods(new, name)
+    replace_periods(new, name)
+    rows = sorted((r.v, r.s, r.extra, r._input_file_date) for r in spark.table(name).collect())
+    assert rows == [(1, "a", None, d1), (3, "x", 9.5, d2)]
+    spark.sql(f"DROP TABLE {name}")
