@@ -34,9 +34,10 @@ MAX_LISTED_FILES = 1_000_000
 def materialise_listing(files: DataFrame, max_files: int = MAX_LISTED_FILES) -> DataFrame:
     """Evaluate a (small) file listing once and keep it as a local relation.
 
-    A listing has one row per file — metadata the driver's file index already
-    holds — so this bounds nothing by data volume. Later uses (header read,
-    provenance broadcast) then reuse it instead of re-listing and re-ranking.
+    A listing has one row per file (or per loaded period) — metadata the
+    driver's file index already holds — so this bounds nothing by data volume;
+    more than ``max_files`` rows is refused. Later uses (header read,
+    provenance broadcast, anti-join) reuse it instead of re-listing and re-ranking.
     """
     if isinstance(getattr(files, "_relcast_local", None), bool):
         return files
@@ -81,7 +82,8 @@ def pending_files(files: DataFrame, loaded: DataFrame | None, on: Sequence[str]
     """Files whose key (period, optionally file name) is not loaded yet."""
     if loaded is None:
         return files
-    keys = loaded.select(*[F.col(l).alias(o) for o, l in zip(on, loaded_on)]).distinct()
+    # One row per loaded period (or period and file): evaluated once, size checked, broadcast.
+    keys = materialise_listing(loaded.select(*[F.col(l).alias(o) for o, l in zip(on, loaded_on)]).distinct())
     return files.join(broadcast_if_small(keys), list(on), "left_anti")
 
 

@@ -21,10 +21,19 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 def document(spark: SparkSession, name: str, table_comment: str | None, column_comments: Mapping[str, str]) -> None:
-    if table_comment is not None:
-        spark.sql(f"COMMENT ON TABLE {name} IS {_quote(table_comment)}")
-    for col, text in column_comments.items():
-        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {_quote(text)}")
+    """Table comment plus column comments; partition columns cannot carry a comment,
+    so their descriptions are appended to the table comment."""
+    columns = {c.name: c for c in spark.catalog.listColumns(name)}
+    on_partitions = {c: t for c, t in column_comments.items() if c in columns and columns[c].isPartition}
+    text = table_comment
+    if on_partitions:
+        extra = "; ".join(f"{c}: {t}" for c, t in on_partitions.items())
+        text = f"{text} ({extra})" if text else extra
+    if text is not None:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quote(text)}")
+    for col, comment in column_comments.items():
+        if col in columns and col not in on_partitions:
+            spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {_quote(comment)}")
 
 
 def column_docs(spark: SparkSession, name: str) -> DataFrame:

@@ -38,13 +38,45 @@ def source_folder(name: str) -> str:
     return name
 
 
-def run_feed(spark: SparkSession, name: str, source_root: str, target_root: str) -> DataFrame:
+# Short descriptions used as table comments when a feed is registered in the catalog.
+DESCRIPTIONS = {
+    "utilisation": "Yearly utilisation and payment summary; one period per data year, newest release wins.",
+    "snapshot": "Periodic snapshot list; one period per published file date, periods appended as they appear.",
+    "latest": "Newest weekly file only.",
+    "reference": "Reference classification per year.",
+    "category": "Monthly list; latest row per npi per month, category spelling corrected.",
+}
+
+
+def _describe(name: str) -> str:
+    if name in UTILISATION_SPECS:
+        return DESCRIPTIONS["utilisation"]
+    if name in CATEGORY_SPECS:
+        return DESCRIPTIONS["category"]
+    if name in LATEST_SPECS:
+        return DESCRIPTIONS["latest"]
+    if name in REFERENCE_SPECS:
+        return DESCRIPTIONS["reference"]
+    return DESCRIPTIONS["snapshot"]
+
+
+def run_feed(spark: SparkSession, name: str, source_root: str, target_root: str,
+             register_as: str | None = None) -> DataFrame:
+    """Load one feed; with ``register_as`` the folder is also exposed as a documented catalog table."""
     spec = FEEDS[name]
     folder = f"{source_root.rstrip('/')}/{source_folder(name)}"
     target = f"{target_root.rstrip('/')}/{name}"
     if name in CATEGORY_SPECS:
-        return jobs.ingest_categories(spark, spec, folder, target)
-    return JOBS[spec.load](spark, spec, folder, target)
+        out = jobs.ingest_categories(spark, spec, folder, target)
+    else:
+        out = JOBS[spec.load](spark, spec, folder, target)
+    if register_as:
+        from relcast.plans.docs import document, register_table
+
+        register_table(spark, register_as, target)
+        document(spark, register_as, spec.table_comment or _describe(name),
+                 {**{"_input_file_date": "period of the release file the row came from"}, **spec.column_comments})
+    return out
 
 
 def run_crosswalk(spark: SparkSession, target_root: str, use_remapped: bool = False) -> DataFrame:

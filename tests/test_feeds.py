@@ -97,3 +97,18 @@ def test_optout_cleaning(spark, tmp_folder):
     got = {(r.npi, r.specialty) for r in df.collect()}
     assert ("100", "CARDIOLOGY") in got and ("101", "UROLOGY") in got and len(got) == 8
     assert df.select(F.min("_input_file_date")).first()[0] == dt.date(2024, 3, 1)
+
+
+def test_run_feed_registers_documented_table(spark, tmp_folder):
+    import uuid
+
+    src, out = f"{tmp_folder}/src", f"{tmp_folder}/out"
+    write(f"{src}/reval", "revalidationreassignmentlist20240105.csv",
+          "Group Enrollment ID,Individual Enrollment ID,Group Due Date,Individual Total Employer Associations\n"
+          "g1,i1,01/31/2024,3\n")
+    name = "reval_" + uuid.uuid4().hex[:8]
+    rows = run_feed(spark, "reval", src, out, register_as=name).collect()
+    assert rows[0].group_due_date == dt.date(2024, 1, 31) and rows[0].individual_total_employer_associations == 3
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert info["Comment"].startswith("Periodic snapshot list") and "_input_file_date: period" in info["Comment"]
+    assert spark.table(name).count() == 1
