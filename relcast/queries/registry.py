@@ -7,6 +7,7 @@ oracle SQL states the expected clean result directly from the tables.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -799,7 +800,7 @@ def q_stream_snapshots(spark, sf):
 
     folder = fx.order_releases(spark, sf)
     target = scratch_path(spark, "stream_snapshots")
-    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "globs": ("*ry2021*_prov.csv", "*ry2021*_PROV.csv")})
+    spec = dataclasses.replace(fx.ORDERS_SPEC, globs=("*ry2021*_prov.csv", "*ry2021*_PROV.csv"))
     q = stream_ingest(spark, spec, folder, target)
     q.awaitTermination()
     if q.exception() is not None:

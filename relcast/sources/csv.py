@@ -113,6 +113,8 @@ def scan_csv(
         groups.setdefault(tuple(row["header"]), []).append(row["path"])
     parts = []
     for header, paths in groups.items():
+        if not header:  # empty files carry no columns and no rows
+            continue
         row = {"header": header, "paths": paths}
         raw = list(row["header"])
         names = resolve_header(raw, renames) if normalise else raw

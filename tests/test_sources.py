@@ -76,3 +76,11 @@ def test_jvm_header_fallback(spark, tmp_folder):
     write(os.path.join(tmp_folder, "h.csv"), '﻿A,"B, x","C ""q"""\n1,2,3\n')
     files = list_releases(spark, tmp_folder, ("*.csv",))
     assert [r.header for r in read_headers_jvm(spark, files).collect()] == [["A", "B, x", 'C "q"']]
+
+
+def test_empty_and_header_only_files_add_no_rows(spark, tmp_folder):
+    write(os.path.join(tmp_folder, "a.csv"), "A,B\n1,2\n")
+    write(os.path.join(tmp_folder, "empty.csv"), "")
+    write(os.path.join(tmp_folder, "head.csv"), "A,B\r\n")
+    df = scan_csv(spark, list_releases(spark, tmp_folder, ("*.csv",)))
+    assert [(r.a, r.b) for r in df.collect()] == [("1", "2")]
