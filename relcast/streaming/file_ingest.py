@@ -8,8 +8,8 @@ periods in the target (idempotent, so a replayed batch after a failure
 rewrites the same periods instead of duplicating rows).
 
 Run with ``trigger(availableNow=True)`` from a scheduler, or continuously.
-Within one batch the newest release of a period wins; a release arriving in a
-later batch replaces the period again.
+Within one batch the newest release of a period wins; a newer release arriving
+in a later batch replaces the period, an older one is skipped.
 """
 
 from __future__ import annotations
@@ -20,10 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from relcast.functions.filedates import name_of
-from relcast.operators.releases import latest_release, with_file_dates
+from relcast.functions.filedates import name_of, release_date
+from relcast.operators.releases import (
+    PERIOD,
+    SOURCE_NAME,
+    latest_release,
+    materialise_listing,
+    with_file_dates,
+)
 from relcast.plans.jobs import prepare
-from relcast.plans.load import replace_periods
+from relcast.plans.load import read_loaded, replace_periods
 from relcast.session import scratch_path
 from relcast.spec import TableSpec
 
@@ -51,6 +57,23 @@ def new_files_stream(spark: SparkSession, folder: str, globs) -> DataFrame:
         F.col("glob_rank").isNotNull())
 
 
+def skip_older_releases(files: DataFrame, loaded: DataFrame | None, release_rule: str) -> DataFrame:
+    """Drop files whose release is older than the one already loaded for their period.
+
+    The loaded release of a period is read back from its ``_source_file_name``
+    (one row per period and file), so a stale release arriving late cannot
+    overwrite a newer one.
+    """
+    if loaded is None or SOURCE_NAME not in loaded.columns:
+        return files
+    current = (loaded.select(PERIOD, SOURCE_NAME).distinct()
+               .select(F.col(PERIOD).alias("data_date"), release_date(SOURCE_NAME, release_rule).alias("_loaded"))
+               .groupBy("data_date").agg(F.max("_loaded").alias("_loaded")))
+    current = materialise_listing(current)
+    joined = files.join(F.broadcast(current), "data_date", "left")
+    return joined.where(F.col("_loaded").isNull() | (F.col("release_date") >= F.col("_loaded"))).drop("_loaded")
+
+
 def stream_ingest(spark: SparkSession, spec: TableSpec, folder: str, target: str, checkpoint: str | None = None,
                   available_now: bool = True) -> StreamingQuery:
     """Start the incremental ingest of a feed; returns the running query."""
@@ -58,8 +81,9 @@ def stream_ingest(spark: SparkSession, spec: TableSpec, folder: str, target: str
     def load_batch(files: DataFrame, epoch_id: int) -> None:
         dated = with_file_dates(files, spec.file_date, spec.release)
         if spec.release != "none":
-            dated = latest_release(dated)
-        if dated.limit(1).count():
+            dated = skip_older_releases(latest_release(dated), read_loaded(files.sparkSession, target), spec.release)
+        dated = materialise_listing(dated)
+        if dated._relcast_rows:
             replace_periods(prepare(files.sparkSession, spec, dated), target)
 
     writer = (new_files_stream(spark, folder, spec.globs).writeStream

@@ -35,3 +35,11 @@ def test_stream_picks_up_only_new_files(spark, tmp_folder):
     assert run(spark, src, target, ckpt) == [(1, 2013), (2, 2013), (3, 2014)]
     write(src, "x_r21_d13_prov.csv", "V\n5\n")  # a newer release restates 2013
     assert run(spark, src, target, ckpt) == [(3, 2014), (5, 2013)]
+
+
+def test_stream_skips_a_late_older_release(spark, tmp_folder):
+    src, target, ckpt = f"{tmp_folder}/src", f"{tmp_folder}/t", f"{tmp_folder}/ckpt"
+    write(src, "x_r21_d13_prov.csv", "V\n7\n")
+    assert run(spark, src, target, ckpt) == [(7, 2013)]
+    write(src, "x_r20_d13_prov.csv", "V\n1\n")  # older release of 2013 arrives later
+    assert run(spark, src, target, ckpt) == [(7, 2013)]
