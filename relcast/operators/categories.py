@@ -3,11 +3,15 @@
 A rare word ``b`` is corrected to a more frequent word ``a`` when they have
 the same phonetic key and an unrestricted Damerau-Levenshtein distance below 3.
 
-Candidate pairs are found without comparing all pairs of a block: two words
-within two edits share a string reachable from each by at most two character
-deletions (each plain edit or neighbour swap costs at most one deletion per
-side). Words are indexed by (phonetic key, deletion variant) and self-joined
-on that index, then the exact distance predicate is checked per pair.
+Candidate pairs are found without comparing all pairs of a block. Two short
+words within two edits share a string reachable from each by at most two
+character deletions (each plain edit or neighbour swap costs at most one
+deletion per side); they are indexed by (phonetic key, deletion variant).
+For long words the deletion variants grow with the square of the length, so a
+long word is cut into five segments instead: two edits disturb at most four of
+them, so one appears verbatim in the other word, shifted by at most two. Both
+indexes are self-joined on equality, then the exact distance predicate is
+checked per pair.
 """
 
 from __future__ import annotations
@@ -44,17 +48,68 @@ def vocab(df: DataFrame, word: str, key: str) -> DataFrame:
     return df.where(F.col(word).isNotNull()).groupBy(F.col(word).alias("word")).agg(F.count(key).alias("n"))
 
 
-def typo_candidates(words: DataFrame) -> DataFrame:
-    """Pairs (a, b) with same phonetic key, distance < 3 and n_a > n_b."""
-    idx = words.select(
-        "word", "n", phonetic_key("word").alias("pkey"), F.explode(deletion_variants("word")).alias("variant")
-    )
-    a, b = idx.alias("a"), idx.alias("b")
-    pairs = (
-        a.join(b, (F.col("a.pkey") == F.col("b.pkey")) & (F.col("a.variant") == F.col("b.variant")) & (F.col("a.n") > F.col("b.n")))
-        .select(F.col("a.word").alias("a"), F.col("b.word").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
-        .distinct()
-    )
+SEGMENTS = 5          # 2 edits disturb at most 4 segments, so one of 5 survives verbatim
+MAX_SHIFT = 2         # ... at an offset of at most 2 (net insertions minus deletions before it)
+LONG_WORD = 15        # from here on segment probes (<= 125 per word) beat deletion variants (~L^2/2)
+
+
+def _segments(word: Column, n: Column):
+    """(i, start, length) of the SEGMENTS contiguous pieces of a length-n word (0-based start)."""
+    return F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda i: F.struct(
+        i.alias("i"),
+        F.floor(i * n / SEGMENTS).cast("int").alias("start"),
+        (F.floor((i + 1) * n / SEGMENTS) - F.floor(i * n / SEGMENTS)).cast("int").alias("len"),
+    ))
+
+
+def _segment_keys(word: Column):
+    """Index side: the word's own segments, keyed by (length, segment number, text)."""
+    n = F.length(word)
+    return F.transform(_segments(word, n), lambda g: F.struct(
+        n.alias("n"), g["i"].alias("i"), F.substring(word, g["start"] + 1, g["len"]).alias("text")))
+
+
+def _segment_probes(word: Column, long_word: int):
+    """Probe side: for every length n within 2 of this word's (n >= long_word), every
+    segment position of a length-n word shifted by -2..2, cut from this word."""
+    m = F.length(word)
+    lengths = F.filter(F.sequence(m - MAX_SHIFT, m + MAX_SHIFT), lambda n: n >= long_word)
+    shifts = F.sequence(F.lit(-MAX_SHIFT), F.lit(MAX_SHIFT))
+    per_len = F.transform(lengths, lambda n: F.flatten(F.transform(_segments(word, n), lambda g: F.transform(
+        F.filter(shifts, lambda d: (g["start"] + d >= 0) & (g["start"] + d + g["len"] <= m)),
+        lambda d: F.struct(n.alias("n"), g["i"].alias("i"), F.substring(word, g["start"] + d + 1, g["len"]).alias("text"))))))
+    return F.array_distinct(F.flatten(per_len))
+
+
+def typo_candidates(words: DataFrame, long_word: int = LONG_WORD) -> DataFrame:
+    """Pairs (a, b) with same phonetic key, distance < 3 and n_a > n_b.
+
+    Pairs of two short words meet on a shared deletion variant; a pair with a
+    word of at least ``long_word`` characters meets on a verbatim segment of
+    that word (index side) found at a shifted position in the other (probe
+    side). Both indexes are exact necessary conditions; the distance predicate
+    then decides. Every word contributes a bounded number of index rows.
+    """
+    keyed = words.select("word", "n", phonetic_key("word").alias("pkey"))
+    short = keyed.where(F.length("word") < long_word)
+    d = short.select("word", "n", "pkey", F.explode(deletion_variants("word")).alias("variant"))
+    a, b = d.alias("a"), d.alias("b")
+    by_deletion = a.join(b, (F.col("a.pkey") == F.col("b.pkey")) & (F.col("a.variant") == F.col("b.variant"))
+                         & (F.col("a.n") > F.col("b.n"))).select(
+        F.col("a.word").alias("a"), F.col("b.word").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+
+    idx = keyed.where(F.length("word") >= long_word).select("word", "n", "pkey", F.explode(_segment_keys(F.col("word"))).alias("k"))
+    probe = keyed.select("word", "n", "pkey", F.explode(_segment_probes(F.col("word"), long_word)).alias("k"))
+    x, y = idx.alias("x"), probe.alias("y")
+    met = x.join(y, (F.col("x.pkey") == F.col("y.pkey")) & (F.col("x.k") == F.col("y.k"))
+                 & (F.col("x.n") != F.col("y.n"))).select(
+        F.col("x.word").alias("u"), F.col("y.word").alias("v"), F.col("x.n").alias("n_u"), F.col("y.n").alias("n_v"))
+    by_segment = met.select(
+        F.when(F.col("n_u") > F.col("n_v"), F.col("u")).otherwise(F.col("v")).alias("a"),
+        F.when(F.col("n_u") > F.col("n_v"), F.col("v")).otherwise(F.col("u")).alias("b"),
+        F.greatest("n_u", "n_v").alias("n_a"), F.least("n_u", "n_v").alias("n_b"))
+
+    pairs = by_deletion.unionByName(by_segment).distinct()
     return pairs.where(within_edits2("a", "b"))
 
 

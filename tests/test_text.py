@@ -26,3 +26,40 @@ def test_edit_predicate_matches_damerau_levenshtein(spark):
 def test_split_ids_drops_empty(spark):
     df = spark.createDataFrame([("111 222",), ("111  222",), (None,)], "v string")
     assert [r[0] for r in df.select(split_ids("v")).collect()] == [["111", "222"], ["111", "222"], None]
+
+
+def test_candidate_search_is_exact_for_short_and_long_words(spark):
+    from relcast.operators.categories import typo_candidates
+
+    rnd = random.Random(11)
+    words = set()
+    base = ["abcabcabcab", "bacbacbacba", "aabbccaabbc", "cabcabcabca"]
+    for w in base:
+        words.add(w)
+        for _ in range(60):
+            s = list(w)
+            for _ in range(rnd.randint(1, 3)):
+                op = rnd.choice("dist")
+                p = rnd.randrange(len(s))
+                if op == "d" and len(s) > 4:
+                    s.pop(p)
+                elif op == "i":
+                    s.insert(p, rnd.choice("abc"))
+                elif op == "s":
+                    s[p] = rnd.choice("abc")
+                elif p + 1 < len(s):
+                    s[p], s[p + 1] = s[p + 1], s[p]
+            words.add("".join(s))
+    words = sorted(words)
+    vocab = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], "word string, n bigint")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE v (word VARCHAR, n BIGINT)")
+    con.executemany("INSERT INTO v VALUES (?, ?)", [(w, i + 1) for i, w in enumerate(words)])
+    # same phonetic key for all (all start with a/b/c and code alike is not guaranteed): compare per Spark key
+    keys = {r.word: r.k for r in vocab.selectExpr("word", "soundex(word) AS k").collect()}
+    want = {(a, b) for a, b, d in con.execute(
+        "SELECT a.word, b.word, damerau_levenshtein(a.word, b.word) FROM v a JOIN v b ON a.n > b.n").fetchall()
+        if d < 3 and keys[a] == keys[b]}
+    for threshold in (6, 10, 100):  # mostly segments, mixed, deletions only
+        got = {(r.a, r.b) for r in typo_candidates(vocab, long_word=threshold).collect()}
+        assert got == want, threshold
