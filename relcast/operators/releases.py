@@ -50,6 +50,33 @@ def materialise_listing(files: DataFrame, max_files: int = MAX_LISTED_FILES) ->
     return local
 
 
+def materialise_with_headers(files: DataFrame, encoding: str = "UTF-8",
+                             max_files: int = MAX_LISTED_FILES) -> tuple[DataFrame, dict]:
+    """One metadata job for a load: the listing evaluated once plus every file's header.
+
+    Falls back to two steps (listing, then a JVM header read) when the Python
+    workers cannot open the file system.
+    """
+    from relcast.sources.csv import listing_with_headers, read_headers_jvm
+
+    if getattr(files, "_relcast_local", None) is None:
+        try:
+            rows = listing_with_headers(files, encoding).limit(max_files + 1).collect()
+        except Exception:
+            rows = None
+        if rows is not None:
+            if len(rows) > max_files:
+                raise ValueError(f"more than {max_files} release files in one job; split the load by period")
+            names = files.columns
+            local = files.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in rows], files.schema)
+            local._relcast_local = True
+            local._relcast_rows = len(rows)
+            return local, {r["path"]: list(r["header"]) for r in rows}
+    local = materialise_listing(files, max_files)
+    heads = {r["path"]: list(r["header"]) for r in read_headers_jvm(local.sparkSession, local, encoding).collect()}
+    return local, heads
+
+
 def with_file_dates(listing: DataFrame, date_rule: str, release_rule: str = "none") -> DataFrame:
     """Adds ``data_date`` and ``release_date`` parsed from each file name."""
     return listing.withColumns(

@@ -15,6 +15,7 @@ from relcast.operators.releases import (
     PERIOD,
     latest_release,
     materialise_listing,
+    materialise_with_headers,
     pending_files,
     with_file_dates,
     with_provenance,
@@ -34,8 +35,8 @@ def discover(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
 
 def prepare(spark: SparkSession, spec: TableSpec, files: DataFrame) -> DataFrame:
     """Scan → broken-row filter → typing → id explode → provenance → projection/dedupe."""
-    files = materialise_listing(files)
-    raw = scan_csv(spark, files, spec.renames, spec.encoding, spec.multi_line)
+    files, headers = materialise_with_headers(files, spec.encoding)
+    raw = scan_csv(spark, files, spec.renames, spec.encoding, spec.multi_line, headers=headers)
     for column, marker in spec.malformed.items():
         if column in raw.columns:
             raw = drop_marked_rows(raw, column, marker)

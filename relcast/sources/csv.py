@@ -78,6 +78,19 @@ def read_headers_jvm(spark: SparkSession, files: DataFrame, encoding: str = "UTF
     return lines.select("path", unquoted.alias("header"))
 
 
+def listing_with_headers(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """The listing with each file's header appended (one distributed pass, all columns kept)."""
+    from pyspark.sql import types as T_
+
+    schema = T_.StructType(list(files.schema.fields) + [T_.StructField("header", T_.ArrayType(T_.StringType()))])
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(header=[_first_line(p, encoding) for p in pdf["path"]])
+
+    return files.mapInPandas(heads, schema)
+
+
 def read_headers(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """(path, header) for every file in a listing; each task opens only its own files' first line."""
 
@@ -95,6 +108,7 @@ def scan_csv(
     encoding: str = "UTF-8",
     multi_line: bool = False,
     normalise: bool = True,
+    headers: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """All-string scan of release files with normalised (and legacy-renamed) names.
 
@@ -105,10 +119,13 @@ def scan_csv(
         files = spark.createDataFrame([(p,) for p in files], "path string")
     # One row per file (metadata), grouped by header on the driver.
     groups: dict[tuple[str, ...], list[str]] = {}
-    try:
-        heads = read_headers(files, encoding).collect()
-    except Exception:  # a file system the Python workers cannot open: read headers on the JVM
-        heads = read_headers_jvm(spark, files, encoding).collect()
+    if headers is not None:
+        heads = [{"path": p, "header": h} for p, h in headers.items()]
+    else:
+        try:
+            heads = read_headers(files, encoding).collect()
+        except Exception:  # a file system the Python workers cannot open: read headers on the JVM
+            heads = read_headers_jvm(spark, files, encoding).collect()
     for row in heads:
         groups.setdefault(tuple(row["header"]), []).append(row["path"])
     parts = []
