@@ -586,6 +586,24 @@ def q_clean_categories(spark, sf):
     return clean_categories(rec, "specialty", "npi", ["last_updated", "optout_end_date"])
 
 
+def _long_records(spark, sf) -> DataFrame:
+    """Longer category strings (name and type, 15+ characters) with the same typo generator."""
+    pa = t(spark, sf, "part").withColumn("_long", F.concat_ws(" ", "p_name", "p_type"))
+    return pa.select(F.col("p_partkey").alias("npi"), dirty_word("_long", "p_partkey").alias("specialty"))
+
+
+@query("typo_candidates_long", f"""
+WITH rec AS (SELECT p_partkey AS npi, {dirty_word_sql("(p_name || ' ' || p_type)", 'p_partkey')} AS specialty FROM part),
+    vocab AS (SELECT specialty AS word, count(npi) AS n FROM rec WHERE specialty IS NOT NULL GROUP BY specialty),
+    keyed AS (SELECT word, n, {soundex_sql('word')} AS pkey FROM vocab)
+SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM keyed a JOIN keyed b
+  ON a.pkey = b.pkey AND a.n > b.n AND damerau_levenshtein(a.word, b.word) < 3
+""")
+def q_typo_candidates_long(spark, sf):
+    """Candidate search on long words: exercises the segment index (and short-word pairs near the threshold)."""
+    return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"))
+
+
 # =========================================================== crosswalk
 
 # Order priorities standing in for the facility-type tables.
