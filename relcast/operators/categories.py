@@ -90,7 +90,9 @@ def typo_candidates(words: DataFrame, long_word: int = LONG_WORD) -> DataFrame:
     side). Both indexes are exact necessary conditions; the distance predicate
     then decides. Every word contributes a bounded number of index rows.
     """
-    keyed = words.select("word", "n", phonetic_key("word").alias("pkey"))
+    # The vocabulary feeds three branches; checkpoint it once (small: one row per
+    # distinct word) so the aggregation over the data is not repeated per branch.
+    keyed = words.select("word", "n", phonetic_key("word").alias("pkey")).checkpoint()
     short = keyed.where(F.length("word") < long_word)
     d = short.select("word", "n", "pkey", F.explode(deletion_variants("word")).alias("variant"))
     a, b = d.alias("a"), d.alias("b")
