@@ -113,8 +113,13 @@ def ingest_catalog(spark: SparkSession, catalog_path: str, target: str) -> DataF
 
 def clean_categories(df: DataFrame, word: str, key: str, order: Sequence[str | Column],
                      period: str = PERIOD) -> DataFrame:
-    """Latest row per (period, key), then frequency-guided spelling correction of ``word``."""
-    latest = latest_per_key(df, [period, key], order)
+    """Latest row per (period, key), then frequency-guided spelling correction of ``word``.
+
+    The de-duplicated rows feed both the vocabulary and the final replacement;
+    they are checkpointed once (executors write to the checkpoint folder)
+    instead of repeating the scan and the per-key shuffle.
+    """
+    latest = latest_per_key(df, [period, key], order).checkpoint()
     mapping = corrections(latest, word, key)
     return apply_corrections(latest, word, mapping)
 
