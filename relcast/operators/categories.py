@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from relcast.functions.common import as_col
 from relcast.functions.text import phonetic_key, within_edits2
 from relcast.operators.releases import BROADCAST_MAX_ROWS, broadcast_if_small
+from relcast.session import work_root
 
 MAX_CHAIN_ROUNDS = 64
 
@@ -92,6 +93,7 @@ def typo_candidates(words: DataFrame, long_word: int = LONG_WORD) -> DataFrame:
     """
     # The vocabulary feeds three branches; checkpoint it once (small: one row per
     # distinct word) so the aggregation over the data is not repeated per branch.
+    work_root(words.sparkSession)  # checkpoint folder from the session (set only if unset)
     keyed = words.select("word", "n", phonetic_key("word").alias("pkey")).checkpoint()
     short = keyed.where(F.length("word") < long_word)
     d = short.select("word", "n", "pkey", F.explode(deletion_variants("word")).alias("variant"))
@@ -127,6 +129,7 @@ def resolve_chains(best: DataFrame) -> DataFrame:
     Acyclic because counts strictly rise along a chain. Each round is
     checkpointed to the session's checkpoint folder to keep lineage short.
     """
+    work_root(best.sparkSession)
     m = best.select("b", "a").checkpoint()
     # One row per rare word in every round: the size check is done once.
     small = m.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS

@@ -25,6 +25,7 @@ from relcast.plans.docs import document, register_table
 from relcast.plans.load import append_snapshots, read_loaded, replace_periods, write_full
 from relcast.sources.csv import scan_csv
 from relcast.sources.files import list_releases, read_table
+from relcast.session import work_root
 from relcast.spec import TableSpec
 
 
@@ -119,6 +120,7 @@ def clean_categories(df: DataFrame, word: str, key: str, order: Sequence[str | C
     they are checkpointed once (executors write to the checkpoint folder)
     instead of repeating the scan and the per-key shuffle.
     """
+    work_root(df.sparkSession)
     latest = latest_per_key(df, [period, key], order).checkpoint()
     mapping = corrections(latest, word, key)
     return apply_corrections(latest, word, mapping)
