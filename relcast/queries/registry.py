@@ -601,7 +601,7 @@ SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM keyed a JOIN keyed
 """)
 def q_typo_candidates_long(spark, sf):
     """Candidate search on long words: exercises the segment index (and short-word pairs near the threshold)."""
-    return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"))
+    return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"), long_word=15)
 
 
 # =========================================================== crosswalk
