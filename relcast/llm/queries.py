@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import mixing, packing, pii, quality, secrets
+from relcast.llm import minhash, mixing, packing, pii, quality, secrets
 from relcast.llm.common import table
 
 
@@ -18,8 +18,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_compression_bands": _over("documents", quality.op2_query),
     "op3_variable_best_fit": _over("documents", packing.pack_documents),
     "op4_window_entropy": _over("documents", secrets.op4_query),
+    "op6_circulant_minhash": _over("documents", minhash.op6_query),
     "op8_anchor_expansion": _over("documents", pii.op8_query),
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_circulant_minhash": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.b FROM reach r JOIN sym e ON e.a = r.b),
+parts AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, parts.component_id, w.doc_id = parts.component_id AS kept
+FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id JOIN parts ON parts.doc_id = w.doc_id
+""",
+}
