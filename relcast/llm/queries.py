@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import minhash, mixing, packing, pii, quality, secrets
+from relcast.llm import minhash, mixing, packing, pii, quality, secrets, warc
 from relcast.llm.common import table
 
 
@@ -15,6 +15,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Sp
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_salvage_warc": _over("pages", warc.op1_query),
     "op2_compression_bands": _over("documents", quality.op2_query),
     "op3_variable_best_fit": _over("documents", packing.pack_documents),
     "op4_window_entropy": _over("documents", secrets.op4_query),
@@ -24,6 +25,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_salvage_warc": """
+SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN strlen(h) >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(h) >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+""",
     "op6_circulant_minhash": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
