@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import minhash, mixing, packing, pii, quality, secrets, warc
+from relcast.llm import licenses, minhash, mixing, packing, pii, quality, secrets, warc
 from relcast.llm.common import table
 
 
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_compression_bands": _over("documents", quality.op2_query),
     "op3_variable_best_fit": _over("documents", packing.pack_documents),
     "op4_window_entropy": _over("documents", secrets.op4_query),
+    "op5_diagonal_voting": _over("documents", licenses.op5_query),
     "op6_circulant_minhash": _over("documents", minhash.op6_query),
     "op8_anchor_expansion": _over("documents", pii.op8_query),
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
