@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import licenses, minhash, mixing, packing, pii, quality, secrets, warc
+from relcast.llm import embeddings, licenses, minhash, mixing, packing, pii, quality, secrets, warc
 from relcast.llm.common import table
 
 
@@ -21,11 +21,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_window_entropy": _over("documents", secrets.op4_query),
     "op5_diagonal_voting": _over("documents", licenses.op5_query),
     "op6_circulant_minhash": _over("documents", minhash.op6_query),
+    "op7_pivot_permutation": _over("embeddings", embeddings.op7_query),
     "op8_anchor_expansion": _over("documents", pii.op8_query),
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
 }
 
 ORACLES: dict[str, str] = {
+    "op7_pivot_permutation": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT p.vec_id, (SELECT count(*) FROM links WHERE links.a = p.vec_id) AS n_links, p.component_id, p.vec_id = p.component_id AS kept
+FROM parts p
+""",
     "op1_salvage_warc": """
 SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
        CASE WHEN strlen(h) >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
