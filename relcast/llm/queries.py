@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import embeddings, licenses, minhash, mixing, packing, pii, quality, secrets, warc
+from relcast.llm import embeddings, licenses, minhash, mixing, packing, pii, quality, secrets, suffix, warc
 from relcast.llm.common import table
 
 
@@ -23,10 +23,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_circulant_minhash": _over("documents", minhash.op6_query),
     "op7_pivot_permutation": _over("embeddings", embeddings.op7_query),
     "op8_anchor_expansion": _over("documents", pii.op8_query),
+    "op9_longest_previous_factor": _over("documents", suffix.op9_query),
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
 }
 
 ORACLES: dict[str, str] = {
+    "op9_longest_previous_factor": """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+strings AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM strings) WHERE first < doc_id),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM hit))
+  GROUP BY doc_id, run),
+parts AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+  FROM runs GROUP BY doc_id)
+SELECT d.doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN starts IS NULL THEN x ELSE list_aggregate(
+         list_transform(range(0, len(starts) + 1), lambda k: substr(x, CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END,
+           CASE WHEN k = len(starts) THEN len(x) ELSE 2 * (starts[k + 1] - CASE WHEN k = 0 THEN 0 ELSE ends[k] END) END)), 'string_agg', '') END)) AS kept_sha256
+FROM d LEFT JOIN parts USING (doc_id)
+""",
     "op7_pivot_permutation": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
