@@ -111,7 +111,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         mark = _checksum(current)
         if mark == before:
             break
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
 def _checksum(edges: DataFrame) -> tuple:
