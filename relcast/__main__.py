@@ -4,6 +4,7 @@
     python -m relcast run FEED SRC_ROOT TABLE_ROOT       # one feed (or "all")
     python -m relcast crosswalk TABLE_ROOT [--remapped]  # npi ↔ CCN crosswalk from the facility tables
     python -m relcast catalog CATALOG_JSON TABLE_ROOT    # flatten the release catalogue
+    python -m relcast downloads CATALOG_JSON SRC_ROOT    # folder, file name and URL of the files still to fetch
     python -m relcast stream FEED SRC_ROOT TABLE_ROOT    # incremental ingest as a stream (availableNow)
 
 The master and every other setting come from spark-submit / the cluster's
@@ -43,7 +44,11 @@ def main(argv: list[str] | None = None) -> int:
     g = sub.add_parser("catalog")
     g.add_argument("catalog_json")
     g.add_argument("table_root")
+    d = sub.add_parser("downloads")
+    d.add_argument("catalog_json")
+    d.add_argument("src_root")
     s = sub.add_parser("stream")
+    s.add_argument("--checkpoint")
     s.add_argument("feed")
     s.add_argument("src_root")
     s.add_argument("table_root")
@@ -65,12 +70,19 @@ def main(argv: list[str] | None = None) -> int:
         from relcast.plans.jobs import ingest_catalog
 
         print(f"datacatalog: {ingest_catalog(spark, args.catalog_json, args.table_root.rstrip('/') + '/datacatalog').count()} rows")
+    elif args.cmd == "downloads":
+        from relcast.sources.catalog import flatten_catalog, read_catalog
+        from relcast.specs.downloads import run_release_selection
+
+        plan = run_release_selection(spark, flatten_catalog(read_catalog(spark, args.catalog_json)), args.src_root)
+        for row in plan.orderBy("folder", "file_name").toLocalIterator():
+            print(f"{row['folder']}\t{row['file_name']}\t{row['downloadURL']}")
     elif args.cmd == "stream":
         from relcast.streaming.file_ingest import stream_ingest
 
         spec = FEEDS[args.feed]
         q = stream_ingest(spark, spec, f"{args.src_root.rstrip('/')}/{source_folder(args.feed)}",
-                          f"{args.table_root.rstrip('/')}/{args.feed}")
+                          f"{args.table_root.rstrip('/')}/{args.feed}", args.checkpoint)
         q.awaitTermination()
     return 0
 

@@ -3,15 +3,15 @@
 A rare word ``b`` is corrected to a more frequent word ``a`` when they have
 the same phonetic key and an unrestricted Damerau-Levenshtein distance below 3.
 
-Candidate pairs are found without comparing all pairs of a block. Two short
-words within two edits share a string reachable from each by at most two
-character deletions (each plain edit or neighbour swap costs at most one
-deletion per side); they are indexed by (phonetic key, deletion variant).
-For long words the deletion variants grow with the square of the length, so a
-long word is cut into five segments instead: two edits disturb at most four of
-them, so one appears verbatim in the other word, shifted by at most two. Both
-indexes are self-joined on equality, then the exact distance predicate is
-checked per pair.
+Candidate pairs are found without comparing all pairs of a block. Take two
+words within two edits and drop the edited characters (one per edit and side):
+what is left is the same on both sides. So what is left of their first PREFIX
+characters differs in length only, and dropping the longer one's surplus makes
+them equal, with at most two characters dropped on either side. Every word is
+therefore indexed by its phonetic key and the strings made from its first
+PREFIX characters by dropping up to two: a bounded number of rows, whatever its
+length. The index is self-joined on a hash, and the join itself checks
+lengths and the exact distance, so only true pairs leave it.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from relcast.functions.common import as_col
 from relcast.functions.text import phonetic_key, within_edits2
-from relcast.operators.releases import BROADCAST_MAX_ROWS, broadcast_if_small
-from relcast.session import work_root
+from relcast.session import materialise, release
 
-MAX_CHAIN_ROUNDS = 64
+#: Characters of a word that are indexed (137 rows a word at most).
+PREFIX = 16
 
 
 def _deletions(w: Column) -> Column:
@@ -49,75 +49,26 @@ def vocab(df: DataFrame, word: str, key: str) -> DataFrame:
     return df.where(F.col(word).isNotNull()).groupBy(F.col(word).alias("word")).agg(F.count(key).alias("n"))
 
 
-SEGMENTS = 5          # 2 edits disturb at most 4 segments, so one of 5 survives verbatim
-MAX_SHIFT = 2         # ... at an offset of at most 2 (net insertions minus deletions before it)
-# Segment probes are fewer than deletion variants from ~15 characters on, but one shared segment
-# is a weaker filter than a shared deletion variant (more candidates to verify); measured on
-# 13-21 character categories the deletion index was ~2.8x faster, so segments start at 32.
-LONG_WORD = 32
-
-
-def _segments(word: Column, n: Column):
-    """(i, start, length) of the SEGMENTS contiguous pieces of a length-n word (0-based start)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda i: F.struct(
-        i.alias("i"),
-        F.floor(i * n / SEGMENTS).cast("int").alias("start"),
-        (F.floor((i + 1) * n / SEGMENTS) - F.floor(i * n / SEGMENTS)).cast("int").alias("len"),
-    ))
-
-
-def _segment_keys(word: Column):
-    """Index side: the word's own segments, keyed by (length, segment number, text)."""
-    n = F.length(word)
-    return F.transform(_segments(word, n), lambda g: F.struct(
-        n.alias("n"), g["i"].alias("i"), F.substring(word, g["start"] + 1, g["len"]).alias("text")))
-
-
-def _segment_probes(word: Column, long_word: int):
-    """Probe side: for every length n within 2 of this word's (n >= long_word), every
-    segment position of a length-n word shifted by -2..2, cut from this word."""
-    m = F.length(word)
-    lengths = F.filter(F.sequence(m - MAX_SHIFT, m + MAX_SHIFT), lambda n: n >= long_word)
-    shifts = F.sequence(F.lit(-MAX_SHIFT), F.lit(MAX_SHIFT))
-    per_len = F.transform(lengths, lambda n: F.flatten(F.transform(_segments(word, n), lambda g: F.transform(
-        F.filter(shifts, lambda d: (g["start"] + d >= 0) & (g["start"] + d + g["len"] <= m)),
-        lambda d: F.struct(n.alias("n"), g["i"].alias("i"), F.substring(word, g["start"] + d + 1, g["len"]).alias("text"))))))
-    return F.array_distinct(F.flatten(per_len))
-
-
-def typo_candidates(words: DataFrame, long_word: int = LONG_WORD) -> DataFrame:
+def typo_candidates(words: DataFrame, prefix: int = PREFIX) -> DataFrame:
     """Pairs (a, b) with same phonetic key, distance < 3 and n_a > n_b.
 
-    Pairs of two short words meet on a shared deletion variant; a pair with a
-    word of at least ``long_word`` characters meets on a verbatim segment of
-    that word (index side) found at a shifted position in the other (probe
-    side). Both indexes are exact necessary conditions; the distance predicate
-    then decides. Every word contributes a bounded number of index rows.
+    The joins are sort-merge joins: ``explode`` does not raise the planner's
+    size estimate, so it would broadcast an index far larger than it believes.
     """
-    # The vocabulary feeds three branches; checkpoint it once (small: one row per
-    # distinct word) so the aggregation over the data is not repeated per branch.
-    work_root(words.sparkSession)  # checkpoint folder from the session (set only if unset)
-    keyed = words.select("word", "n", phonetic_key("word").alias("pkey")).checkpoint()
-    short = keyed.where(F.length("word") < long_word)
-    d = short.select("word", "n", "pkey", F.explode(deletion_variants("word")).alias("variant"))
-    a, b = d.alias("a"), d.alias("b")
-    by_deletion = a.join(b, (F.col("a.pkey") == F.col("b.pkey")) & (F.col("a.variant") == F.col("b.variant"))
-                         & (F.col("a.n") > F.col("b.n"))).select(
-        F.col("a.word").alias("a"), F.col("b.word").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
-
-    idx = keyed.where(F.length("word") >= long_word).select("word", "n", "pkey", F.explode(_segment_keys(F.col("word"))).alias("k"))
-    probe = keyed.select("word", "n", "pkey", F.explode(_segment_probes(F.col("word"), long_word)).alias("k"))
-    x, y = idx.alias("x"), probe.alias("y")
-    met = x.join(y, (F.col("x.pkey") == F.col("y.pkey")) & (F.col("x.k") == F.col("y.k"))
-                 & (F.col("x.n") != F.col("y.n"))).select(
-        F.col("x.word").alias("u"), F.col("y.word").alias("v"), F.col("x.n").alias("n_u"), F.col("y.n").alias("n_v"))
-    by_segment = met.select(
-        F.when(F.col("n_u") > F.col("n_v"), F.col("u")).otherwise(F.col("v")).alias("a"),
-        F.when(F.col("n_u") > F.col("n_v"), F.col("v")).otherwise(F.col("u")).alias("b"),
-        F.greatest("n_u", "n_v").alias("n_a"), F.least("n_u", "n_v").alias("n_b"))
-
-    pairs = by_deletion.unionByName(by_segment).distinct()
-    return pairs.where(within_edits2("a", "b"))
+    # The vocabulary feeds both sides: written once, so the aggregation is not repeated.
+    keyed = materialise(words.select("word", "n", phonetic_key("word").alias("pkey")), "vocabulary")
+    index = keyed.select("word", "n", "pkey", F.explode(deletion_variants(F.substring("word", 1, prefix))).alias("variant"))
+    index = index.select("word", "n", "pkey", F.xxhash64("pkey", "variant").alias("key"))
+    a, b = index.alias("a"), index.alias("b").hint("merge")
+    near = (
+        (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.n") > F.col("b.n"))
+        & F.col("a.pkey").eqNullSafe(F.col("b.pkey"))
+        & (F.abs(F.length("a.word") - F.length("b.word")) <= 2)
+        & within_edits2("a.word", "b.word")
+    )
+    pairs = a.join(b, near).select(F.col("a.word").alias("a"), F.col("b.word").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+    return pairs.distinct()
 
 
 def best_correction(cands: DataFrame) -> DataFrame:
@@ -129,22 +80,19 @@ def best_correction(cands: DataFrame) -> DataFrame:
 def resolve_chains(best: DataFrame) -> DataFrame:
     """Follow b → a → … to the root by pointer jumping (O(log depth) rounds).
 
-    Acyclic because counts strictly rise along a chain. Each round is
-    checkpointed to the session's checkpoint folder to keep lineage short.
+    Ends because counts strictly rise along a chain, so there are no cycles.
+    Each round is written to the shared scratch folder, and the one before is removed.
     """
-    work_root(best.sparkSession)
-    m = best.select("b", "a").checkpoint()
-    # One row per rare word in every round: the size check is done once.
-    small = m.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    for _ in range(MAX_CHAIN_ROUNDS):
+    m = materialise(best.select("b", "a"), "chains")
+    while True:
         nxt = m.select(F.col("b").alias("_b"), F.col("a").alias("_a"))
-        step = m.join(F.broadcast(nxt) if small else nxt, m["a"] == nxt["_b"], "left").select(
-            "b", F.coalesce("_a", "a").alias("a"), F.col("_a").isNotNull().alias("_moved")
-        ).checkpoint()
-        if step.where("_moved").limit(1).count() == 0:
-            return step.select("b", "a")
-        m = step.select("b", "a")
-    raise RuntimeError("correction chains did not converge")
+        step = materialise(m.join(nxt, m["a"] == nxt["_b"], "left").select(
+            "b", F.coalesce("_a", "a").alias("a"), F.col("_a").isNotNull().alias("_moved")), "chains")
+        moved = not step.where("_moved").isEmpty()
+        release(m)
+        m = step
+        if not moved:
+            return m.select("b", "a")
 
 
 def corrections(df: DataFrame, word: str, key: str) -> DataFrame:
@@ -153,7 +101,8 @@ def corrections(df: DataFrame, word: str, key: str) -> DataFrame:
 
 
 def apply_corrections(df: DataFrame, word: str, mapping: DataFrame) -> DataFrame:
-    """Replace mapped words; unmapped stay, null stays null."""
+    """Replace mapped words; unmapped stay, null stays null. How to join is
+    left to the planner, which knows the written mapping's size."""
     m = mapping.select(F.col("b").alias("_from"), F.col("a").alias("_to"))
-    out = df.join(broadcast_if_small(m), F.col(word) == F.col("_from"), "left")
+    out = df.join(m, F.col(word) == F.col("_from"), "left")
     return out.withColumn(word, F.coalesce("_to", word)).drop("_from", "_to").select(*df.columns)

@@ -23,13 +23,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     not depend on row order. A null key counts as one key.
     """
     keys = list(keys)
-    order_cols = [as_col(o) for o in order]
     rest = [c for c in df.columns if c not in keys]
-    # max over a struct treats null as smallest: "desc nulls last" for free.
-    rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)], *[F.col(f"`{c}`") for c in rest])
-    pick = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), rank) if descending else F.min_by(
-        F.struct(*[F.col(f"`{c}`") for c in rest]), rank)
-    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    # max over a struct treats null as smallest: "desc nulls last" for free. Order columns that
+    # are columns of the table come first under their own names, so a row is carried once.
+    named = [o for o in order if isinstance(o, str) and o in rest]
+    if len(named) == len(order):
+        ranked = [*dict.fromkeys(named), *[c for c in rest if c not in named]]
+        row = F.struct(*[F.col(f"`{c}`") for c in ranked])
+    else:
+        row = F.struct(*[as_col(o).alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(f"`{c}`") for c in rest])
+    pick = F.max(row) if descending else F.min(row)
+    out = df.groupBy(*keys).agg(pick.alias("_row"))
+    return out.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

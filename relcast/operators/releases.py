@@ -1,87 +1,45 @@
 """Release selection over file listings (T16, G3, G4, G7, J1, J4) and provenance.
 
-File listings and period lists are metadata: one row per file or per period.
-They are joined to data with a broadcast only after their row count is
-checked against :data:`BROADCAST_MAX_ROWS`; above it the join is left to the
-planner (AQE may still pick a broadcast from runtime sizes).
+Listings and loaded periods stay distributed: they are joined like any other
+table, and the planner decides by their size. Every naming rule is a Column
+over the path, so provenance is a projection of the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relcast.functions.filedates import file_date, name_of, release_date
 from relcast.sources.csv import FILE_PATH
+from relcast.sources.files import partition_keys
 
-BROADCAST_MAX_ROWS = 1_000_000
 PERIOD = "_input_file_date"
 SOURCE_NAME = "_source_file_name"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small (counted, stops at ``max_rows + 1``)."""
-    known = getattr(df, "_relcast_rows", None)
-    n = known if known is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def _required(value: Column, path, what: str) -> Column:
+    """``value``, or an error that names the file."""
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(f"no {what} in the file name: "), name_of(path))).cast("date"))
 
 
-MAX_LISTED_FILES = 1_000_000
+def period_of(path, date_rule: str) -> Column:
+    """The period of a release file; fails, with the name, on one that does not parse."""
+    return _required(file_date(path, date_rule), path, "period")
 
 
-def materialise_listing(files: DataFrame, max_files: int = MAX_LISTED_FILES) -> DataFrame:
-    """Evaluate a (small) file listing once and keep it as a local relation.
-
-    A listing has one row per file (or per loaded period) — metadata the
-    driver's file index already holds — so this bounds nothing by data volume;
-    more than ``max_files`` rows is refused. Later uses (header read,
-    provenance broadcast, anti-join) reuse it instead of re-listing and re-ranking.
-    """
-    if isinstance(getattr(files, "_relcast_local", None), bool):
-        return files
-    rows = files.limit(max_files + 1).collect()
-    if len(rows) > max_files:
-        raise ValueError(f"more than {max_files} release files in one job; split the load by period")
-    local = files.sparkSession.createDataFrame(rows, files.schema)
-    local._relcast_local = True
-    local._relcast_rows = len(rows)
-    return local
-
-
-def materialise_with_headers(files: DataFrame, encoding: str = "UTF-8",
-                             max_files: int = MAX_LISTED_FILES) -> tuple[DataFrame, dict]:
-    """One metadata job for a load: the listing evaluated once plus every file's header.
+def with_file_dates(listing: DataFrame, date_rule: str, release_rule: str = "none") -> DataFrame:
+    """Adds ``data_date`` and ``release_date`` parsed from each file name.
 
-    Falls back to two steps (listing, then a JVM header read) when the Python
-    workers cannot open the file system.
+    A name that does not follow its rule fails the job: dropped or undated
+    files would leave periods out, or load them again on every run.
     """
-    from relcast.sources.csv import listing_with_headers, read_headers_jvm
-
-    if getattr(files, "_relcast_local", None) is None:
-        try:
-            rows = listing_with_headers(files, encoding).limit(max_files + 1).collect()
-        except Exception:
-            rows = None
-        if rows is not None:
-            if len(rows) > max_files:
-                raise ValueError(f"more than {max_files} release files in one job; split the load by period")
-            names = files.columns
-            local = files.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in rows], files.schema)
-            local._relcast_local = True
-            local._relcast_rows = len(rows)
-            return local, {r["path"]: list(r["header"]) for r in rows}
-    local = materialise_listing(files, max_files)
-    heads = {r["path"]: list(r["header"]) for r in read_headers_jvm(local.sparkSession, local, encoding).collect()}
-    return local, heads
-
-
-def with_file_dates(listing: DataFrame, date_rule: str, release_rule: str = "none") -> DataFrame:
-    """Adds ``data_date`` and ``release_date`` parsed from each file name."""
-    return listing.withColumns(
-        {"data_date": file_date("path", date_rule), "release_date": release_date("path", release_rule)}
-    )
+    release = release_date("path", release_rule)
+    if release_rule != "none":
+        release = _required(release, "path", "release")
+    return listing.withColumns({"data_date": period_of("path", date_rule), "release_date": release})
 
 
 def latest_release(files: DataFrame) -> DataFrame:
@@ -90,7 +48,7 @@ def latest_release(files: DataFrame) -> DataFrame:
     w = Window.partitionBy("data_date").orderBy(
         F.col("release_date").desc_nulls_last(), F.col("glob_rank").asc(), F.col("path").asc()
     )
-    return files.where(F.col("data_date").isNotNull()).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return files.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
@@ -99,9 +57,9 @@ def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
     return df.join(F.broadcast(newest), F.col(date_col) == F.col("_newest"), "inner").drop("_newest")
 
 
-def loaded_periods(table: DataFrame, col: str = PERIOD) -> DataFrame:
-    """Distinct periods already in a table."""
-    return table.select(col).distinct()
+def loaded_periods(spark: SparkSession, target: str, columns: Sequence[str] = (PERIOD,)) -> DataFrame:
+    """Distinct periods (or period and file) already in a table, from its partition folders alone."""
+    return partition_keys(spark, target, columns)
 
 
 def pending_files(files: DataFrame, loaded: DataFrame | None, on: Sequence[str] = ("data_date",),
@@ -109,25 +67,19 @@ def pending_files(files: DataFrame, loaded: DataFrame | None, on: Sequence[str]
     """Files whose key (period, optionally file name) is not loaded yet."""
     if loaded is None:
         return files
-    # One row per loaded period (or period and file): evaluated once, size checked, broadcast.
-    keys = materialise_listing(loaded.select(*[F.col(l).alias(o) for o, l in zip(on, loaded_on)]).distinct())
-    return files.join(broadcast_if_small(keys), list(on), "left_anti")
-
+    keys = loaded.select(*[F.col(l).alias(o) for o, l in zip(on, loaded_on)]).distinct()
+    return files.join(keys, list(on), "left_anti")
 
-def missing_downloads(wanted: DataFrame, present: DataFrame, on: str = "file_name") -> DataFrame:
-    """Wanted files whose name is not present yet."""
-    return wanted.join(present.select(on).distinct(), on, "left_anti")
 
+def missing_downloads(wanted: DataFrame, present: DataFrame, on: str | Sequence[str] = "file_name") -> DataFrame:
+    """Wanted files that are not present yet, by name (or folder and name)."""
+    on = [on] if isinstance(on, str) else list(on)
+    return wanted.join(present.select(*on).distinct(), on, "left_anti")
 
-def with_provenance(df: DataFrame, files: DataFrame, source_name: bool = True) -> DataFrame:
-    """Period date (and file name) of each row, via the scan's file path.
 
-    ``files`` has ``path`` and ``data_date``; one row per file, so it is
-    broadcast after a size check rather than evaluated as a literal per file.
-    """
-    files = materialise_listing(files)
-    meta = files.select(F.col("path").alias(FILE_PATH), F.col("data_date").alias(PERIOD))
+def with_provenance(df: DataFrame, date_rule: str, source_name: bool = True) -> DataFrame:
+    """Period date (and file name) of each row, projected from the scan's own file path."""
+    columns = {PERIOD: period_of(FILE_PATH, date_rule)}
     if source_name:
-        meta = meta.withColumn(SOURCE_NAME, name_of(FILE_PATH))
-    meta = F.broadcast(meta) if files._relcast_rows <= BROADCAST_MAX_ROWS else meta
-    return df.join(meta, FILE_PATH, "inner").drop(FILE_PATH)
+        columns[SOURCE_NAME] = name_of(FILE_PATH)
+    return df.withColumns(columns).drop(FILE_PATH)

@@ -10,22 +10,22 @@ from pyspark.sql import functions as F
 from relcast.operators.categories import apply_corrections, corrections
 from relcast.operators.crosswalk import id_crosswalk
 from relcast.operators.dedupe import drop_marked_rows, explode_ids, latest_per_key
-from relcast.operators.feeds import plan_downloads
+from relcast.operators.feeds import Download, plan_downloads
 from relcast.operators.releases import (
     PERIOD,
+    SOURCE_NAME,
     latest_release,
-    materialise_listing,
-    materialise_with_headers,
+    loaded_periods,
     pending_files,
     with_file_dates,
     with_provenance,
 )
 from relcast.operators.typed import apply_types
 from relcast.plans.docs import document, register_table
-from relcast.plans.load import append_snapshots, read_loaded, replace_periods, write_full
+from relcast.plans.load import append_snapshots, replace_periods, write_full
+from relcast.session import materialise
 from relcast.sources.csv import scan_csv
-from relcast.sources.files import list_releases, read_table
-from relcast.session import work_root
+from relcast.sources.files import list_releases, read_table, table_exists
 from relcast.spec import TableSpec
 
 
@@ -36,15 +36,14 @@ def discover(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
 
 def prepare(spark: SparkSession, spec: TableSpec, files: DataFrame) -> DataFrame:
     """Scan → broken-row filter → typing → id explode → provenance → projection/dedupe."""
-    files, headers = materialise_with_headers(files, spec.encoding)
-    raw = scan_csv(spark, files, spec.renames, spec.encoding, spec.multi_line, headers=headers)
+    raw = scan_csv(spark, files, spec.renames, spec.encoding, spec.multi_line)
     for column, marker in spec.malformed.items():
         if column in raw.columns:
             raw = drop_marked_rows(raw, column, marker)
     typed = apply_types(raw, spec)
     if spec.id_list_column:
         typed = explode_ids(typed, spec.id_list_column, spec.id_list_column)
-    out = with_provenance(typed, files, spec.source_name)
+    out = with_provenance(typed, spec.file_date, spec.source_name)
     if spec.output:
         out = out.select(*spec.output, PERIOD)
     if spec.dedupe:
@@ -53,26 +52,31 @@ def prepare(spark: SparkSession, spec: TableSpec, files: DataFrame) -> DataFrame
 
 
 def ingest_periods(spark: SparkSession, spec: TableSpec, folder: str, target: str) -> DataFrame:
-    """Newest release per period, each period replaced in the target."""
+    """Newest release per period, each period replaced in the target (emptied, if that release has no rows)."""
     files = discover(spark, spec, folder)
     if spec.release != "none":
         files = latest_release(files)
-    df = prepare(spark, spec, files)
-    replace_periods(df, target)
+    files = materialise(files, f"files-{spec.name}")
+    replace_periods(prepare(spark, spec, files), target, periods=files.select(F.col("data_date").alias(PERIOD)))
     return read_table(spark, target)
 
 
+#: Column of a file listing for each key column of a table.
+FILE_KEYS = {PERIOD: "data_date", SOURCE_NAME: "file_name"}
+
+
+def pending(spark: SparkSession, spec: TableSpec, files: DataFrame, target: str) -> DataFrame:
+    """J1 for a feed: the files whose key is not in the target yet."""
+    if not table_exists(spark, target):
+        return files
+    return pending_files(files, loaded_periods(spark, target, spec.pending_on), on=tuple(FILE_KEYS[k] for k in spec.pending_on),
+                         loaded_on=spec.pending_on)
+
+
 def ingest_snapshots(spark: SparkSession, spec: TableSpec, folder: str, target: str) -> DataFrame:
     """Only files whose period is not loaded yet are read and added."""
-    files = discover(spark, spec, folder)
-    loaded = read_loaded(spark, target)
-    if loaded is not None:
-        file_keys = {PERIOD: "data_date", "_source_file_name": "file_name"}
-        on = tuple(file_keys[k] for k in spec.pending_on)
-        done = loaded.select(*spec.pending_on).distinct()
-        files = pending_files(files, done, on=on, loaded_on=spec.pending_on)
-    files = materialise_listing(files)
-    if files._relcast_rows > 0:
+    files = materialise(pending(spark, spec, discover(spark, spec, folder), target), f"files-{spec.name}")
+    if not files.isEmpty():
         append_snapshots(prepare(spark, spec, files), target, tuple(spec.pending_on))
     return read_table(spark, target)
 
@@ -117,11 +121,10 @@ def clean_categories(df: DataFrame, word: str, key: str, order: Sequence[str | C
     """Latest row per (period, key), then frequency-guided spelling correction of ``word``.
 
     The de-duplicated rows feed both the vocabulary and the final replacement;
-    they are checkpointed once (executors write to the checkpoint folder)
-    instead of repeating the scan and the per-key shuffle.
+    they are written to the shared scratch folder once instead of repeating the
+    scan and the per-key shuffle.
     """
-    work_root(df.sparkSession)
-    latest = latest_per_key(df, [period, key], order).checkpoint()
+    latest = materialise(latest_per_key(df, [period, key], order), "latest-rows")
     mapping = corrections(latest, word, key)
     return apply_corrections(latest, word, mapping)
 
@@ -131,7 +134,6 @@ def build_crosswalk(spark: SparkSession, targets: Mapping[str, str], id_col: str
     return id_crosswalk({t: read_table(spark, p) for t, p in targets.items()}, id_col=id_col)
 
 
-def release_selection(catalog: DataFrame, phrases: Mapping[str, str], present: DataFrame, rule: str = "url",
-                      renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Which catalogue distributions still need fetching, under which file name."""
-    return plan_downloads(catalog, phrases, present, rule, renames)
+def release_selection(catalog: DataFrame, feeds: Sequence[Download], present: DataFrame, as_of: str = "") -> DataFrame:
+    """Which catalogue distributions still need fetching, into which folder, under which file name."""
+    return plan_downloads(catalog, feeds, present, as_of)

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from relcast.functions.identifiers import CCN_DOUBLE_LETTER_RULES, CCN_SINGLE_LETTER_RULES
 from relcast.queries.fixtures import CCN_CODES
 
 
-def sql_list(values) -> str:
-    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
-
-
 def soundex_sql(w: str) -> str:
     """American Soundex in DuckDB SQL (DuckDB has no soundex).
 
@@ -31,15 +26,25 @@ def soundex_sql(w: str) -> str:
 
 
 def ccn_remap_sql(c: str) -> str:
-    parts = [f"WHEN {c} IS NULL THEN ''", f"WHEN length({c}) < 4 THEN substr({c}, 1, 6)"]
-    for letters, digit in CCN_SINGLE_LETTER_RULES:
-        parts.append(
-            f"WHEN substr({c}, 3, 1) IN {sql_list(letters)} AND regexp_matches(substr({c}, 4, 1), '^[0-9]$') "
-            f"THEN substr({c}, 1, 2) || '{digit}' || substr({c}, 4, 3)"
-        )
-    for pairs, digits in CCN_DOUBLE_LETTER_RULES:
-        parts.append(f"WHEN substr({c}, 3, 2) IN {sql_list(pairs)} THEN substr({c}, 1, 2) || '{digits}' || substr({c}, 5, 2)")
-    return "(CASE " + " ".join(parts) + f" ELSE substr({c}, 1, 6) END)"
+    """The CCN rules, spelled out here so that a wrong production rule cannot agree with itself."""
+    return f"""(CASE
+        WHEN {c} IS NULL THEN ''
+        WHEN length({c}) < 4 THEN {c}
+        WHEN regexp_matches({c}, '^..[MRZ][0-9]') THEN left({c}, 2) || '1' || substr({c}, 4, 3)
+        WHEN regexp_matches({c}, '^..[STU][0-9]') THEN left({c}, 2) || '0' || substr({c}, 4, 3)
+        WHEN regexp_matches({c}, '^..W[0-9]') THEN left({c}, 2) || '2' || substr({c}, 4, 3)
+        WHEN regexp_matches({c}, '^..Y[0-9]') THEN left({c}, 2) || '3' || substr({c}, 4, 3)
+        WHEN regexp_matches({c}, '^..[ST]A') THEN left({c}, 2) || '20' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..[ST]B') THEN left({c}, 2) || '21' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..[ST]C') THEN left({c}, 2) || '22' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..SD') THEN left({c}, 2) || '30' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..[ST]E') THEN left({c}, 2) || '33' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..TF') THEN left({c}, 2) || '40' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..TG') THEN left({c}, 2) || '41' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..TH') THEN left({c}, 2) || '42' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..TJ') THEN left({c}, 2) || '43' || substr({c}, 5, 2)
+        WHEN regexp_matches({c}, '^..TK') THEN left({c}, 2) || '44' || substr({c}, 5, 2)
+        ELSE left({c}, 6) END)"""
 
 
 def synthetic_ccn_sql(state_num: str, key: str) -> str:

@@ -7,7 +7,6 @@ oracle SQL states the expected clean result directly from the tables.
 
 from __future__ import annotations
 
-import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +40,6 @@ from relcast.operators.releases import (
     loaded_periods,
     missing_downloads,
     pending_files,
-    with_file_dates,
     with_provenance,
 )
 from relcast.operators.typed import apply_types
@@ -56,7 +54,7 @@ from relcast.plans.jobs import (
     prepare,
     release_selection,
 )
-from relcast.plans.load import append_snapshots, read_loaded, replace_periods, write_full
+from relcast.plans.load import append_snapshots, replace_periods, write_full
 from relcast.queries import fixtures as fx
 from relcast.queries.oracle_sql import (
     ccn_remap_sql,
@@ -64,11 +62,13 @@ from relcast.queries.oracle_sql import (
     soundex_sql,
     synthetic_ccn_sql,
 )
-from relcast.session import scratch_path
+from relcast.session import materialise, scratch_path
 from relcast.sources.catalog import flatten_catalog, read_catalog
 from relcast.sources.csv import scan_csv, scan_csv_typed
 from relcast.sources.files import list_releases, read_table
 from relcast.spec import DateRule, SuffixTyping, TableSpec
+from relcast.specs.downloads import DOWNLOADS
+from relcast.specs.snapshots import GEO_DOUBLE_SUFFIXES, GEO_STRINGS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -131,7 +131,7 @@ def q_csv_scan_latin1(spark, sf):
 @query("csv_scan_typed", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def q_csv_scan_typed(spark, sf):
     folder = fx.part_csv(spark, sf)
-    return scan_csv_typed(spark, [f"{folder}/part_*.csv"], fx.PART_SCHEMA).drop("_file_path")
+    return scan_csv_typed(spark, list_releases(spark, folder, ("part_*.csv",)), fx.PART_SCHEMA).drop("_file_path")
 
 
 # =========================================================== headers
@@ -208,7 +208,7 @@ def q_provenance(spark, sf):
     folder = fx.order_releases(spark, sf)
     files = discover(spark, fx.ORDERS_SPEC, folder)
     typed = apply_types(scan_csv(spark, files, fx.ORDERS_SPEC.renames), fx.ORDERS_SPEC)
-    return with_provenance(typed, files).select("order_key", "total_price", PERIOD, "_source_file_name")
+    return with_provenance(typed, fx.ORDERS_SPEC.file_date).select("order_key", "total_price", PERIOD, "_source_file_name")
 
 
 def _loaded_orders(spark: SparkSession, sf: str) -> str:
@@ -228,16 +228,16 @@ SELECT {_order_file_sql('r')} AS file_name, make_date(y, 12, 31) AS data_date FR
 """)
 def q_pending_files(spark, sf):
     folder = fx.order_releases(spark, sf)
-    loaded = read_loaded(spark, _loaded_orders(spark, sf))
+    loaded = loaded_periods(spark, _loaded_orders(spark, sf))
     files = discover(spark, fx.ORDERS_SPEC, folder)
-    return pending_files(files, loaded_periods(loaded)).select("file_name", "data_date")
+    return pending_files(files, loaded).select("file_name", "data_date")
 
 
 @query("loaded_periods", """
 SELECT DISTINCT make_date(year(o_orderdate), 12, 31) AS _input_file_date FROM orders WHERE year(o_orderdate) < 1998
 """)
 def q_loaded_periods(spark, sf):
-    return loaded_periods(read_loaded(spark, _loaded_orders(spark, sf)))
+    return loaded_periods(spark, _loaded_orders(spark, sf))
 
 
 # =========================================================== load modes (K1-K4)
@@ -280,13 +280,12 @@ def q_period_replace(spark, sf):
 def q_snapshot_append(spark, sf):
     folder = fx.order_releases(spark, sf)
     target = scratch_path(spark, "snapshot_append")
-    files = list_releases(spark, folder, ("*ry2021*_prov.csv", "*ry2021*_PROV.csv"))
-    files = with_file_dates(files, "data_year", "release_year")
+    files = latest_release(discover(spark, fx.ORDERS_SPEC, folder))
     first = files.where(F.year("data_date") < fx.NEW_VINTAGE_FROM)
     append_snapshots(prepare(spark, fx.ORDERS_SPEC, first), target)
     for _ in range(2):  # second round finds nothing pending: appending is idempotent
-        pending = pending_files(files, loaded_periods(read_loaded(spark, target)))
-        if pending.limit(1).count():
+        pending = materialise(pending_files(files, loaded_periods(spark, target)), "pending")
+        if not pending.isEmpty():
             append_snapshots(prepare(spark, fx.ORDERS_SPEC, pending), target)
     return _period_agg(read_table(spark, target))
 
@@ -316,8 +315,10 @@ def q_schema_evolution(spark, sf):
 def q_full_replace(spark, sf):
     orders = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     target = scratch_path(spark, "full_replace")
-    write_full(orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.lit(-1.0)), target)
-    write_full(orders, target)
+    # The table holds another state, partitioned; the partition "X" is not in the new data.
+    stale = orders.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.lit(-1.0))
+    write_full(stale.unionByName(stale.withColumn("o_orderstatus", F.lit("X"))), target, partition_by="o_orderstatus")
+    write_full(orders, target, partition_by="o_orderstatus")
     return read_table(spark, target)
 
 
@@ -354,12 +355,6 @@ def q_suppression_null(spark, sf):
                      null_if(type_txt, markers).alias("event_type"))
 
 
-# Double suffixes of the geographic-variation feed.
-GEO_DOUBLE_SUFFIXES = ("_amt", "_pcc", "_pymt", "_per_1000_benes", "_pct", "_per_user", "_pc", "_pu", "_avg_age",
-                       "_rate", "_scre")
-GEO_STRINGS = ("bene_geo_lvl", "bene_geo_desc", "bene_geo_cd", "bene_age_lvl")
-
-
 @query("suffix_typing", """
 SELECT CAST(event_id AS INTEGER) AS event_id, event_type AS bene_geo_lvl,
        CASE WHEN user_id % 10 = 0 THEN NULL ELSE value END AS value_amt,
@@ -410,9 +405,7 @@ DATE_FORMATS = ("MM/dd/yyyy", "M/d/yyyy", "MM/dd/yy", "yyyy-MM-dd")
 
 @query("date_parse", """
 SELECT o_orderkey,
-       CASE WHEN o_orderkey % 13 = 0 THEN NULL
-            WHEN o_orderkey % 4 = 2 THEN make_date(2000 + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate))
-            ELSE CAST(o_orderdate AS DATE) END AS order_date
+       CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS order_date
 FROM orders
 """)
 def q_date_parse(spark, sf):
@@ -587,21 +580,21 @@ def q_clean_categories(spark, sf):
 
 
 def _long_records(spark, sf) -> DataFrame:
-    """Longer category strings (name and type, 15+ characters) with the same typo generator."""
-    pa = t(spark, sf, "part").withColumn("_long", F.concat_ws(" ", "p_name", "p_type"))
+    """Long category strings (over 32 characters) with the same typo generator."""
+    pa = t(spark, sf, "part").withColumn("_long", F.concat_ws(" ", "p_name", "p_type", F.lit("of the standard catalogue")))
     return pa.select(F.col("p_partkey").alias("npi"), dirty_word("_long", "p_partkey").alias("specialty"))
 
 
 @query("typo_candidates_long", f"""
-WITH rec AS (SELECT p_partkey AS npi, {dirty_word_sql("(p_name || ' ' || p_type)", 'p_partkey')} AS specialty FROM part),
+WITH rec AS (SELECT p_partkey AS npi, {dirty_word_sql("(p_name || ' ' || p_type || ' of the standard catalogue')", 'p_partkey')} AS specialty FROM part),
     vocab AS (SELECT specialty AS word, count(npi) AS n FROM rec WHERE specialty IS NOT NULL GROUP BY specialty),
     keyed AS (SELECT word, n, {soundex_sql('word')} AS pkey FROM vocab)
 SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM keyed a JOIN keyed b
   ON a.pkey = b.pkey AND a.n > b.n AND damerau_levenshtein(a.word, b.word) < 3
 """)
 def q_typo_candidates_long(spark, sf):
-    """Candidate search on long words: exercises the segment index (and short-word pairs near the threshold)."""
-    return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"), long_word=15)
+    """Candidate search on words that are longer than the indexed prefix."""
+    return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"))
 
 
 # =========================================================== crosswalk
@@ -702,26 +695,54 @@ def q_missing_releases(spark, sf):
     return missing_downloads(wanted, present, "file_name")
 
 
-# Feed phrases used against catalogue titles.
-TITLE_FEEDS = {"feed_de": "de", "feed_ou": "ou", "feed_le": "le"}
+_PHRASES_SQL = """
+  (0, 'mupphy', 'Medicare Physician & Other Practitioners - by'), (1, 'mupdpr', 'Medicare Part D Prescribers - by'),
+  (2, 'mupdme', 'Medicare Durable Medical Equipment, Devices & Supplies - by'), (3, 'reval', 'Revalidation Reassignment List'),
+  (4, 'reval', 'Revalidation Clinic Group Practice Reassignment'), (5, 'optout', 'Opt Out Affidavits'),
+  (6, 'mupohp', 'Medicare Outpatient Hospitals - by'), (7, 'muppac', 'Medicare Post-Acute Care and Hospice - by'),
+  (8, 'mupihp', 'Medicare Inpatient Hospitals - by'), (9, 'geovariation', 'Medicare Geographic Variation'),
+  (10, 'covid19nursinghomes', 'COVID-19 Nursing Home Data'), (11, 'orderandreferring', 'Order and Referring'),
+  (12, 'pendingilt', 'Pending Initial Logging'), (13, 'otpp', 'Opioid Treatment Program Providers'),
+  (14, 'betos', 'Restructured BETOS Classification System'), (15, 'pc_hospital', 'Hospital Enrollments'),
+  (16, 'pc_hospice', 'Hospice Enrollments'), (17, 'pc_homehealth', 'Home Health Agency Enrollments'),
+  (18, 'pc_fqhc', 'Federally Qualified Health Center Enrollments'), (19, 'pc_ruralhealthclinic', 'Rural Health Clinic Enrollments'),
+  (20, 'pc_snf', 'Skilled Nursing Facility Enrollments'), (21, 'pc_provider', 'Medicare Fee-For-Service Public Provider Enrollment'),
+  (22, 'pc_hospital_owner', 'Hospital All Owners'), (23, 'pc_hospice_owner', 'Hospice All Owners'),
+  (24, 'pc_homehealth_owner', 'Home Health Agency All Owners'), (25, 'pc_fqhc_owner', 'Federally Qualified Health Center All Owners'),
+  (26, 'pc_ruralhealthclinic_owner', 'Rural Health Clinic All Owners'), (27, 'pc_snf_owner', 'Skilled Nursing Facility All Owners')
+"""
 
 
 @query("release_selection", f"""
-WITH cat AS ({_CATALOG_SQL}),
-sel AS (SELECT f.feed, cat.downloadURL, regexp_extract(cat.downloadURL, '[^/]*$') AS file_name, CAST(cat.modified AS BIGINT) AS turn
-        FROM cat
-        JOIN (VALUES ('feed_de', 'de'), ('feed_ou', 'ou'), ('feed_le', 'le')) f(feed, phrase) ON contains(cat.title, f.phrase)
-        WHERE cat.mediaType = 'text/csv')
-SELECT feed, downloadURL, file_name FROM sel WHERE turn > 1
+WITH feeds(k, folder, phrase) AS (VALUES {_PHRASES_SQL}),
+cat AS (SELECT c.downloadURL, CAST(c.modified AS INTEGER) AS turn, f.k, f.folder,
+               'New: ' || f.phrase || ' Part ' || CAST(CAST(c.modified AS INTEGER) // 2 AS VARCHAR) AS title
+        FROM ({_CATALOG_SQL}) c JOIN feeds f
+          ON f.k = (CAST(regexp_extract(c.description, '[0-9]+') AS BIGINT) + CAST(c.modified AS BIGINT)) % 28
+        WHERE c.mediaType = 'text/csv'),
+named AS (SELECT folder, downloadURL, title, turn,
+            CASE WHEN k = 10 THEN 'covid19_nursing_home_data_2024-01-05.csv' WHEN k = 14 THEN 'rbcs_2023_taxonomy.csv'
+                 WHEN k IN (3, 4) THEN regexp_replace(lower(title), '[^a-z0-9_]', '', 'g') || '.csv'
+                 ELSE regexp_extract(downloadURL, '[^/]*$') END AS file_name
+          FROM cat)
+SELECT folder, file_name, min(downloadURL) AS downloadURL FROM named
+WHERE NOT (folder = 'mupphy' AND turn <= 1) GROUP BY folder, file_name
 """)
 def q_release_selection(spark, sf):
+    """The declared feed table over catalogue rows whose titles name the feeds in turn."""
     cat = flatten_catalog(read_catalog(spark, fx.catalog_json(spark, sf), multi_line=False))
+    number = F.regexp_extract("description", "[0-9]+", 0).cast("long") + F.col("modified").cast("long")
+    phrases = F.array(*[F.lit(d.phrase) for d in DOWNLOADS])
+    title = F.concat(F.lit("New: "), F.element_at(phrases, (number % len(DOWNLOADS) + 1).cast("int")), F.lit(" Part "),
+                     F.floor(F.col("modified").cast("int") / 2).cast("string"))
     conv = t(spark, sf, "conversations")
-    # Files already fetched: the first two turns of every conversation.
+    # Files already fetched: the first two turns of every conversation, in one folder.
     present = conv.where(F.col("turn") <= 1).select(
+        F.lit("mupphy").alias("folder"),
         F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("_turn_"), F.col("turn").cast("string"),
                  F.lit(".csv")).alias("file_name"))
-    return release_selection(cat, TITLE_FEEDS, present).select("feed", "downloadURL", "file_name")
+    plan = release_selection(cat.withColumns({"title": title, "modified": F.lit("")}), DOWNLOADS, present, as_of="2024-01-05")
+    return plan.select("folder", "file_name", "downloadURL")
 
 
 # =========================================================== end-to-end jobs
@@ -813,14 +834,15 @@ def q_table_docs(spark, sf):
 
 @query("stream_snapshots", _PERIOD_AGG_SQL)
 def q_stream_snapshots(spark, sf):
-    """File-source stream over the current releases; each micro-batch replaces its periods."""
+    """File-source stream over the whole folder, stale releases included, in small batches;
+    a second run with the same checkpoint finds nothing new."""
     from relcast.streaming.file_ingest import stream_ingest
 
     folder = fx.order_releases(spark, sf)
     target = scratch_path(spark, "stream_snapshots")
-    spec = dataclasses.replace(fx.ORDERS_SPEC, globs=("*ry2021*_prov.csv", "*ry2021*_PROV.csv"))
-    q = stream_ingest(spark, spec, folder, target)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    for _ in range(2):
+        q = stream_ingest(spark, fx.ORDERS_SPEC, folder, target, max_files=4)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
     return _period_agg(read_table(spark, target))

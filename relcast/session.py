@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -37,35 +37,52 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate data, derived from the checkpoint dir.
 
-    Reads the session's checkpoint directory; only when none is configured
-    (local tests) is one created under the system temp folder.
+    Reads the session's checkpoint directory. Where none is configured, one is
+    created under the system temp folder in local mode (tests); on a cluster
+    that folder would exist on the driver only, so this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not _single_machine(sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="relcast-ckpt-")
         sc.setCheckpointDir(configured)
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
+def _single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name below the shared work root."""
     return f"{work_root(spark)}/relcast/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def to_local(path: str) -> str:
-    """``file:/x`` → ``/x`` for Python-side IO on local paths; other schemes unchanged."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> None:
-    local = to_local(path)
-    if "://" not in local:
-        os.makedirs(local, exist_ok=True)
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a location, as the JVM sees it."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()), where
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once,
+    lineage cut, and the planner knows its true size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._relcast_scratch = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Deletes the files of a table made by :func:`materialise` that is not read any more."""
+    path = getattr(df, "_relcast_scratch", None)
+    if path:
+        fs, where = hadoop_path(df.sparkSession, path)
+        fs.delete(where, True)

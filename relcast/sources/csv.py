@@ -3,7 +3,7 @@
 One multi-file CSV read maps columns by position using the first file's
 header, so files whose headers differ would be silently mis-aligned. The scan
 therefore reads each file's first line in a distributed job (only the first
-bytes of each file), groups files by header, reads each group with its own
+bytes of each file), groups the files by header, reads each group with its own
 all-string schema and unions the groups by name.
 """
 
@@ -13,6 +13,7 @@ import csv
 import io
 import sys
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -20,26 +21,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.functions.headers import resolve_header
+from relcast.functions.headers import normalise_name, resolve_header
+from relcast.session import hadoop_path
 
 # The header reader runs in Python workers; ship this module's functions by
 # value so executors need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILE_PATH = "_file_path"
-_HEADER_SCHEMA = "path string, header array<string>"
+#: A first line longer than this is no header.
+MAX_HEADER_BYTES = 16 << 20
+#: Spark's names of file systems that Arrow knows under another name.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
 
 
-def _open_fs(path: str):
-    """(filesystem, path) for a listing path (listing paths are not URI-escaped)."""
+def arrow_location(path: str) -> tuple[str, str]:
+    """(kind, location) of a listing path: ``local`` with a file name, or ``uri`` with a URI Arrow understands.
+
+    Listing paths are not URI-escaped. ``dbfs:/x`` is mounted as ``/dbfs/x``.
+    """
     from urllib.parse import quote
 
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return "local", path
+    if scheme in ("file", "dbfs"):
+        local = "/" + rest.lstrip("/")
+        return "local", local if scheme == "file" else "/dbfs" + local
+    return "uri", quote(f"{ARROW_SCHEMES.get(scheme, scheme)}:{rest}", safe=":/@?&=+$,;~!*'()")
+
+
+def _open_fs(path: str):
     from pyarrow import fs as pafs
 
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        return pafs.LocalFileSystem(), ("/" + local.lstrip("/")) if local.startswith("//") else local
-    return pafs.FileSystem.from_uri(quote(path, safe=":/@?&=+$,;~!*'()"))
+    kind, where = arrow_location(path)
+    return (pafs.LocalFileSystem(), where) if kind == "local" else pafs.FileSystem.from_uri(where)
+
+
+def _fields(line: str) -> list[str]:
+    return next(csv.reader(io.StringIO(line.rstrip("\r").lstrip("\ufeff"))), [])
 
 
 def _first_line(path: str, encoding: str) -> list[str]:
@@ -51,8 +71,20 @@ def _first_line(path: str, encoding: str) -> list[str]:
             if not chunk:
                 break
             buf += chunk
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode(encoding, errors="replace").lstrip("﻿")
-    return next(csv.reader(io.StringIO(line)), [])
+            if len(buf) > MAX_HEADER_BYTES:
+                raise ValueError(f"no line end in the first {MAX_HEADER_BYTES} bytes of {path}")
+    return _fields(buf.split(b"\n", 1)[0].decode(encoding, errors="replace"))
+
+
+def _first_line_hadoop(spark: SparkSession, path: str, encoding: str) -> list[str]:
+    """The first line through the Hadoop file system: opens the file and reads its first block only."""
+    fs, where = hadoop_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(where), encoding))
+    try:
+        return _fields(reader.readLine() or "")
+    finally:
+        reader.close()
 
 
 def scan_file_path():
@@ -64,41 +96,55 @@ def scan_file_path():
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def read_headers_jvm(spark: SparkSession, files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """Fallback header read on the JVM: first line of each file's first split."""
-    paths = [r["path"] for r in files.select("path").collect()]
-    lines = (spark.read.option("encoding", encoding).text(paths)
-             .select(scan_file_path().alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("pos"))
-             .where("start = 0")
-             .groupBy("path").agg(F.min_by("value", "pos").alias("line")))
-    # Split on commas outside quotes, then unquote each field ("" → ").
-    fields = F.split(F.regexp_replace("line", "^\uFEFF|\r$", ""), ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    unquoted = F.transform(fields, lambda x: F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"'))
-    return lines.select("path", unquoted.alias("header"))
+def header_groups(files: DataFrame, encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """Paths by header: what reaches the driver is every distinct header once, and the
+    paths that its reader needs anyway.
 
+    First lines are read in Python workers. Files that Arrow cannot open there
+    (an unknown scheme, no client library) are opened through the Hadoop file
+    system instead, a few at a time.
+    """
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import ArrowInvalid, ArrowNotImplementedError
 
-def listing_with_headers(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """The listing with each file's header appended (one distributed pass, all columns kept)."""
-    from pyspark.sql import types as T_
-
-    schema = T_.StructType(list(files.schema.fields) + [T_.StructField("header", T_.ArrayType(T_.StringType()))])
+        def one(path: str):
+            try:
+                return _first_line(path, encoding)
+            except (ArrowInvalid, ArrowNotImplementedError, OSError):
+                return None
 
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(header=[_first_line(p, encoding) for p in pdf["path"]])
+            yield pd.DataFrame({"path": pdf["path"], "header": [one(p) for p in pdf["path"]]})
 
-    return files.mapInPandas(heads, schema)
+    found = files.select("path").mapInPandas(heads, "path string, header array<string>")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in found.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
+        if row["header"] is not None:
+            groups.setdefault(tuple(row["header"]), []).extend(row["paths"])
+            continue
+        spark = files.sparkSession
+        with ThreadPoolExecutor(16) as pool:
+            lines = pool.map(lambda p: _first_line_hadoop(spark, p, encoding), row["paths"])
+            for path, header in zip(row["paths"], lines):
+                groups.setdefault(tuple(header), []).append(path)
+    return {h: sorted(paths) for h, paths in sorted(groups.items())}
 
 
-def read_headers(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
-    """(path, header) for every file in a listing; each task opens only its own files' first line."""
+def _listed(spark: SparkSession, files: DataFrame | Sequence[str]) -> DataFrame:
+    return files if isinstance(files, DataFrame) else spark.read.format("binaryFile").load(list(files)).select("path")
 
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "header": [_first_line(p, encoding) for p in pdf["path"]]})
 
-    return files.select("path").mapInPandas(heads, _HEADER_SCHEMA)
+def _read(spark: SparkSession, schema: T.StructType, paths: Sequence[str], encoding: str, multi_line: bool = False) -> DataFrame:
+    return (
+        spark.read.schema(schema)
+        .option("header", "true")
+        .option("enforceSchema", "true")
+        .option("escape", '"')
+        .option("multiLine", "true" if multi_line else "false")
+        .option("encoding", encoding)
+        .option("mode", "PERMISSIVE")
+        .csv(list(paths))
+    )
 
 
 def scan_csv(
@@ -108,45 +154,24 @@ def scan_csv(
     encoding: str = "UTF-8",
     multi_line: bool = False,
     normalise: bool = True,
-    headers: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """All-string scan of release files with normalised (and legacy-renamed) names.
 
     ``files`` is a listing DataFrame (with ``path``) or a list of paths. Adds
     ``_file_path`` (the scan's own ``_metadata.file_path``) for provenance.
     """
-    if not isinstance(files, DataFrame):
-        files = spark.createDataFrame([(p,) for p in files], "path string")
-    # One row per file (metadata), grouped by header on the driver.
-    groups: dict[tuple[str, ...], list[str]] = {}
-    if headers is not None:
-        heads = [{"path": p, "header": h} for p, h in headers.items()]
-    else:
-        try:
-            heads = read_headers(files, encoding).collect()
-        except Exception:  # a file system the Python workers cannot open: read headers on the JVM
-            heads = read_headers_jvm(spark, files, encoding).collect()
-    for row in heads:
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
     parts = []
-    for header, paths in groups.items():
+    for header, paths in header_groups(_listed(spark, files), encoding).items():
         if not header:  # empty files carry no columns and no rows
             continue
-        row = {"header": header, "paths": paths}
-        raw = list(row["header"])
-        names = resolve_header(raw, renames) if normalise else raw
+        names = resolve_header(list(header), renames) if normalise else list(header)
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        df = (
-            spark.read.schema(schema)
-            .option("header", "true")
-            .option("enforceSchema", "true")
-            .option("escape", '"')
-            .option("multiLine", "true" if multi_line else "false")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .csv(sorted(row["paths"]))
-        )
+        df = _read(spark, schema, paths, encoding, multi_line)
         parts.append(df.select(*[F.col(f"`{n}`") for n in names], scan_file_path().alias(FILE_PATH)))
+    return _united(parts)
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
     if not parts:
         raise FileNotFoundError("no files to scan")
     out = parts[0]
@@ -155,14 +180,19 @@ def scan_csv(
     return out
 
 
-def scan_csv_typed(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str, encoding: str = "UTF-8") -> DataFrame:
-    """S3: declared-schema scan (the header line is skipped, names come from the schema)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .csv(list(paths))
-        .select("*", scan_file_path().alias(FILE_PATH))
-    )
+def scan_csv_typed(spark: SparkSession, files: DataFrame | Sequence[str], schema: T.StructType | str, encoding: str = "UTF-8") -> DataFrame:
+    """S3: declared-schema scan. Columns are found by header name (normalised on
+    both sides), whatever their order; undeclared ones are left out, missing ones null."""
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    by_name = {normalise_name(f.name): f for f in declared}
+    parts = []
+    for header, paths in header_groups(_listed(spark, files), encoding).items():
+        if not header:
+            continue
+        names = [normalise_name(h) for h in header]
+        fields = [T.StructField(by_name[n].name, by_name[n].dataType) if n in by_name else T.StructField(f"_undeclared_{i}", T.StringType())
+                  for i, n in enumerate(names)]
+        df = _read(spark, T.StructType(fields), paths, encoding)
+        cols = [F.col(f"`{f.name}`") if normalise_name(f.name) in names else F.lit(None).cast(f.dataType).alias(f.name) for f in declared]
+        parts.append(df.select(*cols, scan_file_path().alias(FILE_PATH)))
+    return _united(parts)

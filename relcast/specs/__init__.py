@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from relcast.plans import jobs
+from relcast.specs.documentation import DOCUMENTATION, PERIOD_TEXT
 from relcast.specs.snapshots import (
     CATEGORY_SPECS,
     FACILITY_TYPES,
@@ -74,8 +75,8 @@ def run_feed(spark: SparkSession, name: str, source_root: str, target_root: str,
         from relcast.plans.docs import document, register_table
 
         register_table(spark, register_as, target)
-        document(spark, register_as, spec.table_comment or _describe(name),
-                 {**{"_input_file_date": "period of the release file the row came from"}, **spec.column_comments})
+        text, columns = DOCUMENTATION.get(name, (_describe(name), {"_input_file_date": PERIOD_TEXT}))
+        document(spark, register_as, spec.table_comment or text, {**columns, **spec.column_comments})
     return out
 
 

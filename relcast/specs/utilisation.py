@@ -196,8 +196,9 @@ MUPDME_GEO_INTS = (
     "tot_suplrs", "tot_suplr_benes", "tot_suplr_clms", "tot_suplr_srvcs", "tot_rfrg_prvdrs",
 )
 
+# The source runs the first two names together; they are two columns.
 MUPDME_GEO_DOUBLES = (
-    "avg_suplr_mdcr_alowd_amtavg_suplr_mdcr_pymt_amt", "avg_suplr_sbmtd_chrg", "avg_suplr_mdcr_stdzd_amt",
+    "avg_suplr_mdcr_alowd_amt", "avg_suplr_mdcr_pymt_amt", "avg_suplr_sbmtd_chrg", "avg_suplr_mdcr_stdzd_amt",
 )
 
 MUPDME_SUPHPR_INTS = (
@@ -251,12 +252,8 @@ DME_BETOS_LEGACY = {"betos_lvl": "rbcs_lvl", "betos_cd": "rbcs_id", "betos_desc"
 DME_BROKEN_ROW_MARKER = ' or ultralightweight wheelchair"'
 
 # Ruling on the written lists: the post-acute feed's 16 legacy chronic-condition
-# columns are renamed before typing, so their new names are typed as double too;
-# two durable-equipment geo amounts lost a separating comma and are typed separately.
+# columns are renamed before typing, so their new names are typed as double too.
 MUPPAC_GEO_DOUBLES_EFFECTIVE = MUPPAC_GEO_DOUBLES + tuple(CC_LEGACY[c] for c in CC_LEGACY if c in MUPPAC_GEO_DOUBLES)
-MUPDME_GEO_DOUBLES_EFFECTIVE = (
-    "avg_suplr_mdcr_alowd_amt", "avg_suplr_mdcr_pymt_amt", "avg_suplr_sbmtd_chrg", "avg_suplr_mdcr_stdzd_amt",
-)
 
 
 def _types(ints, doubles) -> dict[str, str]:
@@ -290,7 +287,7 @@ UTILISATION_SPECS = {
               malformed={"tot_suplrs": DME_BROKEN_ROW_MARKER}),
         _spec("mupdme_prvdr", ["*_prvr.csv", "*_Prov.csv", "*_rfrr.csv"], MUPDME_PRVDR_INTS, MUPDME_PRVDR_DOUBLES,
               DME_PROVIDER_LEGACY),
-        _spec("mupdme_geo", ["*_geo*"], MUPDME_GEO_INTS, MUPDME_GEO_DOUBLES_EFFECTIVE, DME_BETOS_LEGACY,
+        _spec("mupdme_geo", ["*_geo*"], MUPDME_GEO_INTS, MUPDME_GEO_DOUBLES, DME_BETOS_LEGACY,
               malformed={"tot_rfrg_prvdrs": DME_BROKEN_ROW_MARKER}),
         _spec("mupdme_suphpr", ["*_suphpr*"], MUPDME_SUPHPR_INTS, MUPDME_SUPHPR_DOUBLES, DME_BETOS_LEGACY,
               malformed={"tot_suplr_benes": DME_BROKEN_ROW_MARKER}),

@@ -1,11 +1,10 @@
 """Incremental ingest as a Structured Streaming query over a release folder.
 
-The stream's source is the folder listing (``binaryFile``, contents pruned):
-the file source's own checkpoint remembers which files were seen, which is
-exactly "take only files not loaded before". Each micro-batch is a list of
-new files; ``foreachBatch`` runs the batch job on them and replaces their
-periods in the target (idempotent, so a replayed batch after a failure
-rewrites the same periods instead of duplicating rows).
+The stream's source is the folder listing (``binaryFile``, contents pruned).
+Its checkpoint, kept beside the table, remembers which files were seen. Each
+micro-batch is a list of new files; ``foreachBatch`` runs the batch job of the
+feed's load mode on them. Loads are idempotent, so a batch replayed after a
+failure rewrites the same partitions instead of duplicating rows.
 
 Run with ``trigger(availableNow=True)`` from a scheduler, or continuously.
 Within one batch the newest release of a period wins; a newer release arriving
@@ -21,18 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from relcast.functions.filedates import name_of, release_date
-from relcast.operators.releases import (
-    PERIOD,
-    SOURCE_NAME,
-    latest_release,
-    materialise_listing,
-    with_file_dates,
-)
-from relcast.plans.jobs import prepare
-from relcast.plans.load import read_loaded, replace_periods
-from relcast.session import scratch_path
+from relcast.operators.releases import PERIOD, SOURCE_NAME, latest_release, with_file_dates
+from relcast.plans.jobs import pending, prepare
+from relcast.plans.load import append_snapshots, replace_periods
+from relcast.session import materialise, release
+from relcast.sources.files import is_path, read_table, table_exists
 from relcast.spec import TableSpec
 
+#: Load modes that can be streamed; the others need all files of a feed at once.
+STREAMED_LOADS = ("period", "append")
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -45,10 +41,12 @@ def glob_regex(glob: str) -> str:
     return "^" + "".join(out) + "$"
 
 
-def new_files_stream(spark: SparkSession, folder: str, globs) -> DataFrame:
+def new_files_stream(spark: SparkSession, folder: str, globs, max_files: int | None = None) -> DataFrame:
     """Streaming listing of ``folder``: path, file_name, length, glob_rank (first matching glob)."""
-    listing = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).load(folder)
-               .select("path", "length"))
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    listing = reader.load(folder).select("path", "length")
     name = name_of("path")
     rank = F.lit(None).cast("int")
     for i, g in reversed(list(enumerate(globs))):
@@ -57,37 +55,67 @@ def new_files_stream(spark: SparkSession, folder: str, globs) -> DataFrame:
         F.col("glob_rank").isNotNull())
 
 
-def skip_older_releases(files: DataFrame, loaded: DataFrame | None, release_rule: str) -> DataFrame:
+def skip_older_releases(files: DataFrame, target: str, spec: TableSpec) -> DataFrame:
     """Drop files whose release is older than the one already loaded for their period.
 
     The loaded release of a period is read back from its ``_source_file_name``
-    (one row per period and file), so a stale release arriving late cannot
-    overwrite a newer one.
+    (only the periods of the batch are read), so a stale release arriving late
+    cannot overwrite a newer one.
     """
-    if loaded is None or SOURCE_NAME not in loaded.columns:
+    spark = files.sparkSession
+    if not table_exists(spark, target):
         return files
-    current = (loaded.select(PERIOD, SOURCE_NAME).distinct()
-               .select(F.col(PERIOD).alias("data_date"), release_date(SOURCE_NAME, release_rule).alias("_loaded"))
+    loaded = read_table(spark, target)
+    if SOURCE_NAME not in loaded.columns:
+        return files
+    wanted = files.select(F.col("data_date").alias(PERIOD)).distinct()
+    current = (loaded.select(PERIOD, SOURCE_NAME).join(wanted, PERIOD, "left_semi")
+               .select(F.col(PERIOD).alias("data_date"), release_date(SOURCE_NAME, spec.release).alias("_loaded"))
                .groupBy("data_date").agg(F.max("_loaded").alias("_loaded")))
-    current = materialise_listing(current)
-    joined = files.join(F.broadcast(current), "data_date", "left")
+    joined = files.join(current, "data_date", "left")
     return joined.where(F.col("_loaded").isNull() | (F.col("release_date") >= F.col("_loaded"))).drop("_loaded")
 
 
+def default_checkpoint(target: str) -> str:
+    """Beside the table, so that every run for a table finds the files it has seen."""
+    if not is_path(target):
+        raise ValueError("name a checkpoint folder for a catalog table")
+    return f"{target.rstrip('/')}_stream_checkpoint"
+
+
 def stream_ingest(spark: SparkSession, spec: TableSpec, folder: str, target: str, checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """Start the incremental ingest of a feed; returns the running query."""
+                  available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Start the incremental ingest of a feed; returns the running query.
+
+    Feeds that replace the whole table (newest file only, reference, corrected
+    categories) are refused: a batch of new files is not the whole feed.
+    """
+    if spec.load not in STREAMED_LOADS:
+        raise ValueError(f"feed {spec.name} is loaded as {spec.load!r}; only {' and '.join(STREAMED_LOADS)} can be streamed")
+
+    checkpoint = checkpoint or default_checkpoint(target)
 
     def load_batch(files: DataFrame, epoch_id: int) -> None:
-        dated = with_file_dates(files, spec.file_date, spec.release)
-        if spec.release != "none":
-            dated = skip_older_releases(latest_release(dated), read_loaded(files.sparkSession, target), spec.release)
-        dated = materialise_listing(dated)
-        if dated._relcast_rows:
-            replace_periods(prepare(files.sparkSession, spec, dated), target)
-
-    writer = (new_files_stream(spark, folder, spec.globs).writeStream
+        session = files.sparkSession
+        dated = materialise(with_file_dates(files, spec.file_date, spec.release), f"stream-{spec.name}")
+        if spec.load == "append":
+            chosen = pending(session, spec, dated, target)
+        elif spec.release != "none":
+            chosen = skip_older_releases(latest_release(dated), target, spec)
+        else:
+            chosen = dated
+        chosen = materialise(chosen, f"stream-{spec.name}")
+        if not chosen.isEmpty():
+            rows = prepare(session, spec, chosen)
+            if spec.load == "append":
+                append_snapshots(rows, target, tuple(spec.pending_on))
+            else:
+                replace_periods(rows, target, periods=chosen.select(F.col("data_date").alias(PERIOD)))
+        release(dated)
+        release(chosen)
+
+    writer = (new_files_stream(spark, folder, spec.globs, max_files).writeStream
               .foreachBatch(load_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{spec.name}")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -110,5 +110,112 @@ def test_run_feed_registers_documented_table(spark, tmp_folder):
     rows = run_feed(spark, "reval", src, out, register_as=name).collect()
     assert rows[0].group_due_date == dt.date(2024, 1, 31) and rows[0].individual_total_employer_associations == 3
     info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    assert info["Comment"].startswith("Periodic snapshot list") and "_input_file_date: period" in info["Comment"]
+    assert info["Comment"].startswith("Periodic snapshot list") and "_input_file_date: period of the release" in info["Comment"]
     assert spark.table(name).count() == 1
+
+
+def test_empty_restatement_empties_its_period(spark, tmp_folder):
+    src, out = f"{tmp_folder}/src", f"{tmp_folder}/out"
+    head = "Rfrg_NPI,HCPCS_CD,Tot_Suplrs\n"
+    write(f"{src}/mupdme", "mup_dme_r19_p08_v10_d13_prvhpr.csv", head + "1,K0001,5\n")
+    write(f"{src}/mupdme", "mup_dme_r19_p08_v10_d14_prvhpr.csv", head + "2,K0001,5\n")
+    assert run_feed(spark, "mupdme", src, out).count() == 2
+    write(f"{src}/mupdme", "mup_dme_r20_p08_v10_d13_prvhpr.csv", head)
+    assert [r.rfrg_npi for r in run_feed(spark, "mupdme", src, out).collect()] == ["2"]
+
+
+def test_undated_snapshot_fails_with_its_name(spark, tmp_folder):
+    import pytest
+
+    src, out = f"{tmp_folder}/src", f"{tmp_folder}/out"
+    write(f"{src}/orderandreferring", "order_latest_list.csv", "NPI,LAST_NAME\n1,A\n")
+    with pytest.raises(Exception, match="order_latest_list.csv"):
+        run_feed(spark, "orderandreferring", src, out)
+
+
+def test_documented_feeds(spark, tmp_folder):
+    import uuid
+
+    from relcast.specs.documentation import DOCUMENTATION
+
+    src, out = f"{tmp_folder}/src", f"{tmp_folder}/out"
+    assert set(DOCUMENTATION) == {"betos", "geovariation", "orderandreferring", "otpp", "pendingilt"}
+    write(f"{src}/orderandreferring", "OrderReferring_20240105.csv", "NPI,LAST_NAME,FIRST_NAME,PARTB,DME,HHA,PMD,HOSPICE\n1,A,B,Y,Y,N,N,Y\n")
+    name = "orderref_" + uuid.uuid4().hex[:8]
+    run_feed(spark, "orderandreferring", src, out, register_as=name)
+    comments = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert all(comments[c] == t for c, t in DOCUMENTATION["orderandreferring"][1].items() if c != "_input_file_date")
+
+
+# File names that follow each naming rule, by (period rule, release rule).
+def feed_file(spec) -> str:
+    glob = spec.globs[0]
+    tail = glob.lstrip("*").replace("*", "") or ".csv"
+    tail = tail if tail.endswith(".csv") else tail + ".csv"
+    rule = spec.file_date
+    if rule == "data_year":
+        return "mup_x_ry21_p05_v10_dy20" + tail
+    if rule == "stem_year_slice":
+        return "PY2021" + glob.strip("*").replace(".csv", "") + "_2020x.csv"
+    return {
+        "last4_year": "name_2020.csv", "token2_year": "rbcs_2020_taxonomy.csv", "month_year": "optout_March2020.csv",
+        "token2_day": "list_20200105_x.csv", "last_token_day": "otp_01052020.csv", "last8_day": "revalidationreassignmentlist20200105.csv",
+        "last_token_iso": "covid_2020-01-05.csv", "last10_dotted": "enrol_2020.01.05.csv",
+    }[rule]
+
+
+def test_every_feed_runs_on_a_small_file(spark, tmp_folder):
+    from relcast.operators.typed import type_of
+    from relcast.specs import FEEDS, source_folder
+
+    assert len(FEEDS) == 38
+    for name, spec in FEEDS.items():
+        src, out = f"{tmp_folder}/{name}/src", f"{tmp_folder}/{name}/out"
+        columns = ["npi", *spec.types, *(spec.pads or ()), *(spec.output or ())]
+        columns += [c for c in ("some_date", "start_date_x", "hcpcs_cd_add_dt", "ccn", "specialty") if c not in columns]
+        columns = [c for c in dict.fromkeys(columns) if c not in spec.renames]
+        sample = {"int": '"1,234"' if spec.strip_money else "1234", "bigint": "1234", "double": "12.5", "string": "text", "date": None, "date_strict": None}
+        values = []
+        for c in columns:
+            kind, formats = type_of(c, spec)
+            day = (formats or ("",))[0].replace("MM", "01").replace("dd", "05").replace("yyyy", "2020").replace("yy", "20").replace("M", "1").replace("d", "5")
+            values.append(day if kind.startswith("date") else sample[kind])
+        write(f"{src}/{source_folder(name)}", feed_file(spec), ",".join(columns) + "\n" + ",".join(values) + "\n", spec.encoding)
+        rows = run_feed(spark, name, src, out).collect()
+        assert len(rows) == 1, name
+        row = rows[0].asDict()
+        assert row["_input_file_date"].year == 2020, name
+        for c in row:
+            kind, _ = type_of(c, spec)
+            if kind in ("int", "bigint") and c in spec.types:
+                assert row[c] == 1234, (name, c)
+            if kind == "double" and c in spec.types:
+                assert row[c] == 12.5, (name, c)
+            if kind.startswith("date") and c in columns:
+                assert row[c] == dt.date(2020, 1, 5), (name, c)
+
+
+def test_download_plan(spark, tmp_folder):
+    from relcast.operators.feeds import plan_downloads
+    from relcast.specs import FEEDS, source_folder
+    from relcast.specs.downloads import DOWNLOADS, present_files, run_release_selection
+
+    assert len(DOWNLOADS) == 28 and {d.folder for d in DOWNLOADS} == {source_folder(f) for f in FEEDS}
+    dme = "Medicare%20Durable%20Medical%20Equipment%2C%20Devices%20%26%20Supplies%20-%20by%20Referring%20Provider%20Data%202015.csv"
+    rows = [
+        ("Hospice All Owners : 2024-01-05", "text/csv", "https://x/own.csv", "2024-01-05"),
+        ("Medicare Durable Medical Equipment, Devices & Supplies - by Referring Provider", "text/csv", f"https://x/{dme}", ""),
+        ("Revalidation Reassignment List : 2024-01", "text/csv", "https://x/abc", ""),
+        ("COVID-19 Nursing Home Data", "text/csv", "https://x/old.csv", "2023-12-01"), ("COVID-19 Nursing Home Data", "text/csv", "https://x/new.csv", "2024-01-01"),
+        ("Opt Out Affidavits", "application/json", "https://x/o.json", ""), ("Opt Out Affidavits", "text/csv", "https://x/OptOut_March2024.csv", ""),
+    ]
+    catalog = spark.createDataFrame(rows, "title string, mediaType string, downloadURL string, modified string")
+    got = {(r.folder, r.file_name): r.downloadURL for r in run_release_selection(spark, catalog, f"{tmp_folder}/none", dt.date(2024, 1, 9)).collect()}
+    assert got == {
+        ("pc_hospice_owner", "own.csv"): "https://x/own.csv", ("mupdme", "mup_dme_r19_p08_v10_d15_prvr.csv"): f"https://x/{dme}",
+        ("reval", "revalidationreassignmentlist202401.csv"): "https://x/abc",
+        ("covid19nursinghomes", "covid19_nursing_home_data_2024-01-09.csv"): "https://x/new.csv", ("optout", "OptOut_March2024.csv"): "https://x/OptOut_March2024.csv",
+    }
+    write(f"{tmp_folder}/src/pc_hospice_owner", "own.csv", "A\n")
+    left = plan_downloads(catalog, DOWNLOADS, present_files(spark, f"{tmp_folder}/src"), "2024-01-09")
+    assert {r.folder for r in left.collect()} == {f for f, _ in got} - {"pc_hospice_owner"}

@@ -132,3 +132,31 @@ def test_latest_snapshot_keeps_only_newest_date(spark):
     d = dt.date
     df = spark.createDataFrame([(1, d(2024, 1, 1)), (2, d(2024, 1, 2)), (3, d(2024, 1, 2)), (4, None)], "v int, day date")
     assert sorted(r.v for r in latest_snapshot(df, "day").collect()) == [2, 3]
+
+
+def test_names_that_do_not_parse_fail_with_the_name(spark):
+    import pytest
+
+    files = spark.createDataFrame([("/x/mup_r20_d13_prov.csv", 0), ("/x/mup_2020_Prov_Svc.csv", 0)], "path string, glob_rank int")
+    for release in ("release_year", "none"):
+        dated = with_file_dates(files, "data_year", release)
+        with pytest.raises(Exception, match="mup_2020_Prov_Svc.csv"):
+            latest_release(dated).collect()
+
+
+def test_latest_per_key_with_expressions_and_nulls(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 5, "a"), (1, None, "b"), (1, 5, "c"), (None, 1, "d"), (None, 2, "e")]
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    by_name = sorted((r.k or 0, r.v, r.s) for r in latest_per_key(df, ["k"], ["v"]).collect())
+    by_expr = sorted((r.k or 0, r.v, r.s) for r in latest_per_key(df, ["k"], [F.col("v") + 1]).collect())
+    assert by_name == [(0, 2, "e"), (1, 5, "c")] and by_expr == [(0, 2, "e"), (1, 5, "c")]
+    assert latest_per_key(df, ["k"], ["v"]).columns == ["k", "v", "s"]
+
+
+def test_chains_close_whatever_their_length(spark):
+    from relcast.operators.categories import resolve_chains
+
+    best = spark.createDataFrame([(f"w{i}", f"w{i + 1}") for i in range(200)], "b string, a string")
+    assert {r.a for r in resolve_chains(best).collect()} == {"w200"}

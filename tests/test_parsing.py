@@ -44,3 +44,10 @@ def test_strict_dates_fail_on_leftovers(spark):
 
 def test_pad(spark):
     assert col_values(spark, ["12345", "1234567"], lambda c: pad_id(c, 6)) == ["012345", "123456"]
+
+
+def test_two_digit_years_of_guessed_formats(spark):
+    formats = ("MM/dd/yyyy", "MM/dd/yy")
+    got = col_values(spark, ["03/15/98", "03/15/68", "03/15/69", "03/15/1998"], lambda c: parse_date_any(c, formats))
+    assert [d.year for d in got] == [1998, 2068, 1969, 1998]
+    assert col_values(spark, ["03/15/98"], lambda c: parse_date_any(c, ("MM/dd/yy",)))[0].year == 2098  # one declared format

@@ -16,15 +16,15 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_provenance_join_is_broadcast(spark):
+def test_provenance_is_a_projection(spark):
     p = plan(entry.queries()["provenance"](spark, SF))
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert "Join" not in p and "Exchange" not in p
 
 
 def test_latest_per_key_aggregates_map_side(spark):
     p = plan(entry.queries()["latest_per_key"](spark, SF))
     assert "Window" not in p
-    assert p.count("Aggregate") >= 2 and "partial_max_by" in p
+    assert p.count("Aggregate") >= 2 and "partial_max(" in p
 
 
 def test_crosswalk_pushes_filters_and_prunes(spark):
@@ -38,7 +38,22 @@ def test_crosswalk_pushes_filters_and_prunes(spark):
 def test_candidate_search_is_an_equi_join(spark):
     p = plan(entry.queries()["typo_candidates"](spark, SF))
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
-    assert "HashJoin" in p or "SortMergeJoin" in p
+
+
+def test_candidate_index_is_never_broadcast(spark, tmp_folder):
+    """A vocabulary whose index is far larger than the planner's estimate."""
+    from relcast.operators.categories import typo_candidates
+
+    words = spark.range(20_000).select(F.concat(F.lit("category number "), F.col("id").cast("string"), F.lit(" of the list")).alias("word"), (F.col("id") + 1).alias("n"))
+    words.write.parquet(f"{tmp_folder}/v")
+    p = plan(typo_candidates(spark.read.parquet(f"{tmp_folder}/v")))
+    assert "SortMergeJoin" in p and "Broadcast" not in p
+
+
+def test_loaded_periods_open_no_data_file(spark):
+    p = plan(entry.queries()["loaded_periods"](spark, SF))
+    assert "FileScan binaryFile" in p and "FileScan parquet" not in p
+    assert "ReadSchema: struct<>" in p  # names only
 
 
 def test_feed_selection_needs_no_join(spark):
@@ -53,9 +68,7 @@ def test_period_write_has_no_shuffle(spark, tmp_folder):
 
     folder = fx.order_releases(spark, SF)
     df = prepare(spark, fx.ORDERS_SPEC, latest_release(discover(spark, fx.ORDERS_SPEC, folder)))
-    p = plan(df)
-    assert "BroadcastExchange" in p  # only the file listing moves
-    assert "Exchange hashpartitioning" not in p and "RoundRobinPartitioning" not in p and "SinglePartition" not in p
+    assert "Exchange" not in plan(df)
 
 
 def test_csv_scan_prunes_columns(spark):

@@ -62,20 +62,67 @@ def test_catalog_flatten(spark, tmp_folder):
 
 
 def test_names_with_spaces_percent_and_plus_keep_provenance(spark, tmp_folder):
-    from relcast.operators.releases import with_file_dates, with_provenance
+    from relcast.operators.releases import with_provenance
 
     write(os.path.join(tmp_folder, "a b%20c+d_2013.csv"), 'A,"B, x"\n1,2\n')
-    files = with_file_dates(list_releases(spark, tmp_folder, ("*.csv",)), "last4_year")
-    rows = with_provenance(scan_csv(spark, files), files).collect()
+    files = list_releases(spark, tmp_folder, ("*.csv",))
+    rows = with_provenance(scan_csv(spark, files), "last4_year").collect()
     assert [(r.a, r.b_x, r._source_file_name) for r in rows] == [("1", "2", "a b%20c+d_2013.csv")]
 
 
-def test_jvm_header_fallback(spark, tmp_folder):
-    from relcast.sources.csv import read_headers_jvm
+def test_hadoop_header_fallback(spark, tmp_folder, monkeypatch):
+    """Where Arrow cannot open a file, its first line comes through the Hadoop file system."""
+    from relcast.sources import csv as source
 
-    write(os.path.join(tmp_folder, "h.csv"), '﻿A,"B, x","C ""q"""\n1,2,3\n')
+    write(os.path.join(tmp_folder, "h.csv"), '\ufeffA,"B, x","C ""q"""\n1,2,3\n')
+    write(os.path.join(tmp_folder, "e.csv"), "")
     files = list_releases(spark, tmp_folder, ("*.csv",))
-    assert [r.header for r in read_headers_jvm(spark, files).collect()] == [["A", "B, x", 'C "q"']]
+    direct = source.header_groups(files)
+
+    def fails(path, encoding):
+        raise OSError("no client for this file system")
+
+    monkeypatch.setattr(source, "_first_line", fails)
+    assert source.header_groups(files) == direct
+    assert {h for h in direct if h} == {("A", "B, x", 'C "q"')}
+
+
+def test_arrow_locations():
+    from relcast.sources.csv import arrow_location
+
+    assert arrow_location("s3a://b/a b%.csv") == ("uri", "s3://b/a%20b%25.csv")
+    assert arrow_location("s3n://b/x") == ("uri", "s3://b/x")
+    assert arrow_location("gs://b/x") == ("uri", "gs://b/x")
+    assert arrow_location("hdfs://host:8020/x") == ("uri", "hdfs://host:8020/x")
+    assert arrow_location("abfss://c@a.dfs.core.windows.net/x")[1].startswith("abfs://")
+    assert arrow_location("dbfs:/x/y.csv") == ("local", "/dbfs/x/y.csv")
+    assert arrow_location("file:/x/y.csv") == arrow_location("file:///x/y.csv") == ("local", "/x/y.csv")
+
+
+def test_first_line_reads_no_further(tmp_folder):
+    from relcast.sources import csv as source
+
+    path = os.path.join(tmp_folder, "big.csv")
+    with open(path, "wb") as f:
+        f.write(b"A,B\n" + b"x" * (1 << 20))
+    assert source._first_line(f"file:{path}", "UTF-8") == ["A", "B"]
+    with open(path, "wb") as f:
+        f.write(b"x" * (source.MAX_HEADER_BYTES + (1 << 17)))
+    try:
+        source._first_line(f"file:{path}", "UTF-8")
+        raise AssertionError("a file without a line end has no header")
+    except ValueError:
+        pass
+
+
+def test_declared_schema_follows_the_header(spark, tmp_folder):
+    from relcast.sources.csv import scan_csv_typed
+
+    write(os.path.join(tmp_folder, "a.csv"), "A,B\n1,x\n")
+    write(os.path.join(tmp_folder, "b.csv"), "B,Other,A\ny,z,2\n")
+    write(os.path.join(tmp_folder, "c.csv"), "B\nw\n")
+    rows = scan_csv_typed(spark, [f"{tmp_folder}/*.csv"], "A int, B string").collect()
+    assert sorted((r.A is None, r.A or 0, r.B) for r in rows) == [(False, 1, "x"), (False, 2, "y"), (True, 0, "w")]
 
 
 def test_empty_and_header_only_files_add_no_rows(spark, tmp_folder):

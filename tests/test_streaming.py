@@ -43,3 +43,28 @@ def test_stream_skips_a_late_older_release(spark, tmp_folder):
     assert run(spark, src, target, ckpt) == [(7, 2013)]
     write(src, "x_r20_d13_prov.csv", "V\n1\n")  # older release of 2013 arrives later
     assert run(spark, src, target, ckpt) == [(7, 2013)]
+
+
+def test_two_files_of_one_date_in_two_batches(spark, tmp_folder):
+    from relcast.specs import FEEDS
+
+    src, target = f"{tmp_folder}/src", f"{tmp_folder}/t"
+    for name, npi in (("pending_20240105_physicians.csv", 1), ("pending_20240105_nonphysicians.csv", 2)):
+        write(src, name, f"NPI,LAST NAME,FIRST NAME\n{npi},A,B\n")
+        q = stream_ingest(spark, FEEDS["pendingilt"], src, target)  # default checkpoint, beside the table
+        q.awaitTermination()
+        assert q.exception() is None
+    assert sorted(r.npi for r in read_table(spark, target).collect()) == ["1", "2"]
+    assert os.path.isdir(f"{target}_stream_checkpoint")
+
+
+def test_loads_that_need_the_whole_feed_are_refused(spark, tmp_folder):
+    import pytest
+
+    from relcast.specs import FEEDS
+
+    for name in ("covid19nursinghomes", "optout", "betos"):
+        with pytest.raises(ValueError, match="can be streamed"):
+            stream_ingest(spark, FEEDS[name], f"{tmp_folder}/src", f"{tmp_folder}/t")
+    with pytest.raises(ValueError, match="checkpoint"):
+        stream_ingest(spark, SPEC, f"{tmp_folder}/src", "a_table")

@@ -60,6 +60,6 @@ def test_candidate_search_is_exact_for_short_and_long_words(spark):
     want = {(a, b) for a, b, d in con.execute(
         "SELECT a.word, b.word, damerau_levenshtein(a.word, b.word) FROM v a JOIN v b ON a.n > b.n").fetchall()
         if d < 3 and keys[a] == keys[b]}
-    for threshold in (6, 10, 100):  # mostly segments, mixed, deletions only
-        got = {(r.a, r.b) for r in typo_candidates(vocab, long_word=threshold).collect()}
-        assert got == want, threshold
+    for prefix in (4, 7, 16):  # words much longer than the indexed prefix, a little longer, shorter
+        got = {(r.a, r.b) for r in typo_candidates(vocab, prefix=prefix).collect()}
+        assert got == want, prefix
