@@ -27,7 +27,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
 }
 
+def _license_rows() -> str:
+    """The phrases and templates as SQL rows (fixed values only; the rules are spelled out below)."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = [(f"base:{label}:{i}", text, "2") for i, (text, label) in enumerate(licenses.PHRASES)]
+    rows += [(f"text:{label}", text, "3") for label, text in licenses.TEMPLATES]
+    return ", ".join(f"({quoted(n)}, {quoted(x)}, {k})" for n, x, k in rows)
+
+
+_LICENSE_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLES: dict[str, str] = {
+    "op5_diagonal_voting": f"""
+WITH templates(name, text, k) AS (VALUES {_license_rows()}),
+tw AS (SELECT name, k, {_LICENSE_WORDS} AS w FROM templates),
+tg AS (SELECT name, k, t, len(w) - k + 1 AS grams, CASE WHEN len(w) <= 12 THEN len(w) - k + 1 ELSE ceil(0.6 * (len(w) - k + 1)) END AS need,
+              array_to_string(w[t + 1:t + k], ' ') AS g
+       FROM (SELECT name, k, w, unnest(range(0, len(w) - k + 1)) AS t FROM tw)),
+dw AS (SELECT row_number() OVER () AS r, doc_id, {_LICENSE_WORDS} AS w FROM documents),
+places AS (SELECT r, w, unnest(range(0, len(w))) AS p FROM dw),
+dg AS (SELECT r, p, 2 AS k, array_to_string(w[p + 1:p + 2], ' ') AS g FROM places WHERE p + 2 <= len(w)
+       UNION ALL SELECT r, p, 3, array_to_string(w[p + 1:p + 3], ' ') FROM places WHERE p + 3 <= len(w)),
+hits AS (SELECT r, name, grams, need, t, p - t AS diagonal FROM dg JOIN tg ON dg.k = tg.k AND dg.g = tg.g),
+lines AS (SELECT r, name, grams, need, diagonal, lag(diagonal) OVER (PARTITION BY r, name ORDER BY diagonal) AS before FROM (SELECT DISTINCT r, name, grams, need, diagonal FROM hits)),
+runs AS (SELECT r, name, diagonal, sum(CASE WHEN need = grams OR before IS NULL OR diagonal - before > 4 THEN 1 ELSE 0 END) OVER (PARTITION BY r, name ORDER BY diagonal) AS run FROM lines),
+spans AS (SELECT h.r, h.name, min(h.diagonal) AS start, count(DISTINCT h.t) / any_value(h.grams)::DOUBLE AS score
+          FROM hits h JOIN runs u ON u.r = h.r AND u.name = h.name AND u.diagonal = h.diagonal
+          GROUP BY h.r, h.name, u.run HAVING count(DISTINCT h.t) >= any_value(h.need)),
+found AS (SELECT r, count(*) FILTER (name LIKE 'base:%') AS n_base, min(start) FILTER (name LIKE 'base:%') AS first_word, max(start) FILTER (name LIKE 'base:%') AS last_word,
+                 string_agg(DISTINCT split_part(name, ':', 2), ',' ORDER BY split_part(name, ':', 2)) FILTER (name LIKE 'base:%') AS base_labels,
+                 string_agg(DISTINCT split_part(name, ':', 2), ',' ORDER BY split_part(name, ':', 2)) AS labels, max(score) AS score
+          FROM spans GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM dw LEFT JOIN found ON found.r = dw.r
+""",
     "op9_longest_previous_factor": """
 WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
 strings AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d WHERE len(x) >= 100)),
