@@ -283,15 +283,14 @@ def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE)
     known = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-classes")
     keyed = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
-    shared = written(keyed.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("m")).where(F.col("m") > 1).drop("m"), "minhash-buckets")
-    joined = keyed.join(shared.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).drop("k")
-    joined = written(joined, "minhash-members")
+    shared = keyed.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("id", "n")).alias("c"), F.count("*").alias("m")).where(F.col("m") > 1)
+    shared = written(shared.select("k", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "minhash-buckets")
+    joined = written(keyed.join(shared, F.col("key") == F.col("k")).drop("k"), "minhash-members")
     sets = written(_sets(docs, joined.select("id").distinct(), size).dropDuplicates(["id"]), "minhash-sets")
 
     # every member against the centre of its buckets
-    sizes = classes.select(F.col("rep").alias("i"), F.col("n").alias("m"))
-    star = joined.where(F.col("id") != F.col("centre")).select(F.col("id").alias("a"), F.col("centre").alias("b"), "n").distinct()
-    star = star.join(sizes, F.col("b") == F.col("i")).where(_sizes_allow(F.col("n"), F.col("m"))).select("a", "b").distinct()
+    star = joined.where((F.col("id") != F.col("centre")) & _sizes_allow(F.col("n"), F.col("centre_n")))
+    star = star.select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     first = written(confirm(star, sets), "minhash-star")
     links = first.where(_linked()).select("a", "b")
 
