@@ -54,7 +54,7 @@ MUPPHY_DOUBLES = (
 )
 
 MUPPHY_PRVDR_INTS = (
-    "tot_benes", "tot_hcpcs_cds", "drug_tot_benes", "drug_tot_hcpcs_cds", "med_tot_benes", "med_tot_hcpcs_cds",
+    "tot_hcpcs_cds", "tot_benes", "drug_tot_benes", "drug_tot_hcpcs_cds", "med_tot_benes", "med_tot_hcpcs_cds",
 ) + DEMO_COUNTS
 
 MUPPHY_PRVDR_DOUBLES = (
@@ -85,8 +85,8 @@ MUPIHP_PRVDR_INTS = (
 ) + DEMO_COUNTS
 
 MUPIHP_PRVDR_DOUBLES = (
-    "avg_mdcr_pymt_amt", "bene_avg_age", "tot_submtd_cvrd_chrg", "tot_pymt_amt", "tot_mdcr_pymt_amt",
-    "avg_tot_sbmtd_chrgs", "avg_mdcr_alowd_amt", "avg_mdcr_outlier_amt", "bene_avg_risk_scre",
+    "bene_avg_age", "tot_submtd_cvrd_chrg", "tot_pymt_amt", "tot_mdcr_pymt_amt", "avg_tot_sbmtd_chrgs",
+    "avg_mdcr_alowd_amt", "avg_mdcr_pymt_amt", "avg_mdcr_outlier_amt", "bene_avg_risk_scre",
 ) + CC_V2_PCT
 
 MUPIHP_GEO_INTS = (
@@ -143,7 +143,7 @@ MUPDPR_PRVDR_DOUBLES = (
 )
 
 MUPDPR_GEO_INTS = (
-    "tot_clms", "tot_benes", "ge65_tot_clms", "ge65_tot_benes", "tot_prscrbrs",
+    "tot_prscrbrs", "tot_clms", "tot_benes", "ge65_tot_clms", "ge65_tot_benes",
 )
 
 MUPDPR_GEO_DOUBLES = (
