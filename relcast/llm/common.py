@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.session import scratch_path
+from relcast.session import materialise, release
 
 #: Words are runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -58,20 +58,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     planner also sees the true size on disk, so it broadcasts a table only
     when its files are under the session's threshold.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Deletes the files of a table made by :func:`written`, once it is not read any more."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    return materialise(df, name)
 
 
 def ascii_lower(col) -> F.Column:
@@ -105,8 +92,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = (small.join(least, F.col("b") == F.col("k"), "left")
                  .select("a", F.coalesce("m", "b").alias("b")).distinct())
         after = written(large, "cc")
-        forget(current)
-        forget(small)
+        release(current)
+        release(small)
         current, before = after, mark
         mark = _checksum(current)
         if mark == before:

@@ -8,6 +8,10 @@ rounded in parallel, each leaves one residual at most, and a reduction tree
 of further fights combines the residuals of a source. Within a block, fights
 are between neighbours in size order, so that mass moves between documents of
 like size and the words taken stay near the target.
+
+What sources with few documents then still miss is made up by a few repairs:
+in each, one document of a source goes from the copies below its rate to those
+above or back, that whose size is nearest to what is missing.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ SHARE = 1.5
 MAX_COPIES = 2
 BLOCK = 1024
 FAN_IN = 64
+REPAIRS = 3
 _EPS = 1e-9
 
 
@@ -119,7 +124,7 @@ def _rounder(seed: int, last: bool):
     return round_block
 
 
-_STATE = "doc_id long, source string, text_hash long, size long, whole int, mass double, block long"
+_STATE = "row long, doc_id long, source string, text_hash long, size long, whole int, mass double, block long"
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES, seed: int = 17) -> DataFrame:
@@ -130,7 +135,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     words has target 0 and no copies. Null sources are one source; null ids
     and repeated rows are ordinary documents. An empty table gives no rows.
     """
-    sizes = written(sized(docs), "mix-sizes")
+    sizes = written(sized(docs).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
     goals = written(targets(sizes, weights, share, most), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     blocks = F.ceil(F.col("n_docs") / F.lit(BLOCK))
@@ -138,7 +143,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     whole = F.when(F.abs(rate - near) < _EPS, near).otherwise(F.floor(rate))
     goal = goals.select(F.col("source").alias("s"), rate.alias("rate"), whole.cast("int").alias("whole"), blocks.alias("blocks"))
     state = (sizes.join(goal, F.col("source").eqNullSafe(F.col("s")))
-             .select("doc_id", "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
+             .select("row", "doc_id", "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
                      F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("blocks")).alias("block")))
     levels = max(1, 1 + math.ceil(math.log(max(1, goals.agg(F.max(blocks)).first()[0] or 1), FAN_IN)))
     settled = []
@@ -151,10 +156,25 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     rows = settled[0]
     for more in settled[1:]:
         rows = rows.unionAll(more)
-    n = F.col("whole") + F.col("mass").cast("int")
-    goal = goals.select(F.col("source").alias("s"), "source_size", "target")
-    return (rows.join(goal, F.col("source").eqNullSafe(F.col("s")))
-            .select("doc_id", "source", "text_hash", "size", "source_size", "target", n.alias("copies"), (n * F.col("size")).cast("long").alias("taken")))
+    goal = goals.select(F.col("source").alias("s"), "source_size", "target", (F.abs(rate - near) >= _EPS).alias("open"))
+    rows = rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", F.col("whole") + F.col("mass").cast("int"))
+    rows = rows.select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "open", "whole", "copies")
+    for _ in range(REPAIRS):
+        rows = _repaired(rows)
+    return rows.select("doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def _repaired(rows: DataFrame) -> DataFrame:
+    """``rows`` with one document per source moved to its other number of copies, where that brings the source nearer to its target."""
+    missing = written(rows.groupBy(F.col("source").alias("s")).agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("miss")), "mix-missing")
+    by = F.abs(F.abs(F.col("miss")) - F.col("size"))
+    spare = F.when(F.col("miss") > 0, F.col("copies") == F.col("whole")).otherwise(F.col("copies") > F.col("whole"))
+    able = rows.where("open").join(missing, F.col("source").eqNullSafe(F.col("s"))).where(spare & (by < F.abs(F.col("miss"))))
+    best = able.groupBy("source").agg(F.min_by("row", F.struct(by.alias("by"), F.col("doc_id"), F.col("text_hash"), F.col("row"))).alias("moved"))
+    moved = written(best.select("moved"), "mix-moved")
+    other = F.when(F.col("copies") == F.col("whole"), F.col("whole") + 1).otherwise(F.col("whole"))
+    out = rows.join(moved, F.col("row") == F.col("moved"), "left")
+    return out.withColumn("copies", F.when(F.col("moved").isNotNull(), other).otherwise(F.col("copies"))).drop("moved")
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
