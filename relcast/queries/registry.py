@@ -841,7 +841,7 @@ def q_stream_snapshots(spark, sf):
     folder = fx.order_releases(spark, sf)
     target = scratch_path(spark, "stream_snapshots")
     for _ in range(2):
-        q = stream_ingest(spark, fx.ORDERS_SPEC, folder, target, max_files=4)
+        q = stream_ingest(spark, fx.ORDERS_SPEC, folder, target, max_files=6)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
