@@ -16,7 +16,7 @@ from relcast.session import materialise, release
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: Bytes of one Arrow batch sent to a Python worker, so that very long texts
 #: cannot add up to more than this (a single longer text is its own batch).
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 4 << 20
 _ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -78,7 +78,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1 << 19:
+        if len(self) > 1 << 16:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
