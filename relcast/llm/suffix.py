@@ -25,6 +25,7 @@ too many different pieces are dealt out string by string instead.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relcast.llm.common import map_batches, written
+from relcast.session import release
 
 LENGTH = 50
 KMER = 20
 _SPAN = LENGTH - KMER + 1  # k-mers in a string
-_CHUNK = 1 << 17
+_CHUNK = 1 << 15
 #: Text bytes per bucket of anchors, at least so many buckets, and slots of pieces per bucket.
 BUCKET_BYTES, LEAST_BUCKETS, SLOTS = 32 << 20, 64, 4
 #: An anchor in more batches than this, and than a HOT_SHARE of all, is dealt out string by string.
@@ -138,30 +140,37 @@ _SENT = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("buc
                       T.StructField("docs", T.BinaryType()), T.StructField("ids", T.BinaryType())])
 
 
-def _identity(found: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 32 more bits of an anchor; together they stand for it."""
-    return (found >> np.uint64(64 - bits)).astype(np.int32), (found & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def _mixed(found: np.ndarray) -> np.ndarray:
+    """Anchors are minima, so small values are by far more frequent; this spreads them evenly."""
+    with np.errstate(over="ignore"):
+        return found * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket_and_low(mixed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 32 more bits of a mixed anchor; together they stand for it."""
+    return (mixed >> np.uint64(64 - bits)).astype(np.int32), (mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 def _ids(found: np.ndarray, bits: int) -> np.ndarray:
-    bucket, low = _identity(found, bits)
+    bucket, low = _bucket_and_low(_mixed(found), bits)
     return (bucket.astype(np.int64) << 32) | low.astype(np.int64)
 
 
 def _send(bits: int):
     def send(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {c: [] for c in ("kind", "bucket", "docs", "ids")}
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        found = [np.unique(a) for a in anchored(_text(batch, "text"))]
+        doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        found = [np.unique(_mixed(a)) for a in anchored(_text(batch, "text"))]
         values = np.concatenate(found) if found else np.empty(0, np.uint64)
-        docs = np.repeat(ids, [len(a) for a in found]).astype(np.int64)
+        docs = np.repeat(doc_ids, [len(a) for a in found]).astype(np.int64)
         order = np.lexsort((docs, values))
         values, docs = values[order], docs[order]
         if len(values):
             head = np.concatenate([[True], values[1:] != values[:-1]])
             group = np.cumsum(head) - 1
             several = np.bincount(group[np.concatenate([[False], docs[1:] != docs[:-1]]) & ~head], minlength=group[-1] + 1)[group] > 0
-            bucket, low = _identity(values, bits)
+            bucket, low = _bucket_and_low(values, bits)
+            ids = (bucket.astype(np.int64) << 32) | low.astype(np.int64)
             # anchors of two documents of the batch are shared already; one of them stands for the batch
             for kind, pick, keep in ((_KIND_SEND, head, True), (_KIND_SHARED, several, False)):
                 at = np.flatnonzero(pick)
@@ -170,7 +179,7 @@ def _send(bits: int):
                     out["kind"].append(kind)
                     out["bucket"].append(int(bucket[part[0]]))
                     out["docs"].append(docs[part].tobytes())
-                    out["ids"].append(low[part].tobytes() if keep else _ids(values[part], bits).tobytes())
+                    out["ids"].append(low[part].tobytes() if keep else ids[part].tobytes())
         return out
 
     return send
@@ -209,7 +218,7 @@ _SHARED = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("d
 # ------------------------------------------------------- 2: previous factors
 
 _PIECES = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("th", T.LongType()),
-                        T.StructField("piece", T.BinaryType()), T.StructField("mask", T.LongType())])
+                        T.StructField("anchor", T.LongType()), T.StructField("piece", T.BinaryType()), T.StructField("mask", T.LongType())])
 
 
 def _hash(piece: bytes) -> int:
@@ -219,65 +228,71 @@ def _hash(piece: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _lists(column: pa.ListArray) -> tuple[list[int], np.ndarray]:
+    """Offsets and values of a list column without nulls."""
+    return column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+
+
 def _cut(bits: int, slots: int, hot: frozenset[int]):
     def cut(batch: pa.RecordBatch) -> dict:
         """The pieces with shared anchors; those equal to a piece of a smaller document of the batch are settled at once (slot -1)."""
         texts = _text(batch, "text")
-        docs, hashes, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "th", "ids"))
-        first: dict[tuple[int, bytes], tuple[int, int]] = {}
-        settled: set[tuple[int, int, bytes]] = set()
-        for doc, th, text, ids, found in zip(docs, hashes, texts, wanted, anchored(texts)):
+        docs, hashes = (batch.column(c).to_pylist() for c in ("doc_id", "th"))
+        at, ids = _lists(batch.column("ids"))
+        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        settled: set[tuple[int, int, int, bytes]] = set()
+        for doc, th, text, begin, end, found in zip(docs, hashes, texts, at[:-1], at[1:], anchored(texts)):
             starts, lasts = pieces(found)
             own = _ids(found[starts], bits)
-            for at in np.flatnonzero(np.isin(own, np.asarray(ids, np.int64))).tolist():
-                anchor, a, b = int(own[at]), int(starts[at]), int(lasts[at])
+            for k in np.flatnonzero(np.isin(own, ids[begin:end])).tolist():
+                anchor, a, b = int(own[k]), int(starts[k]), int(lasts[k])
                 parts = [(_hash(text[i:i + LENGTH]), text[i:i + LENGTH]) for i in range(a, b + 1)] if anchor in hot else [(anchor, text[a:b + LENGTH])]
                 for key in parts:
                     before = first.get(key)
                     if before is None or doc < before[0]:
-                        first[key] = (doc, th)
+                        first[key] = (doc, th, anchor)
                         if before is not None:
                             settled.add((*before, key[1]))
                     elif doc > before[0]:
-                        settled.add((doc, th, key[1]))
+                        settled.add((doc, th, anchor, key[1]))
                     elif th != before[1]:  # another text with the same id: neither is earlier, both are looked up
-                        first[(key[0], key[1], th)] = (doc, th)
-        sent = [((key[0] * 0x9E3779B1 >> 7) % slots, doc, th, key[1], 0) for key, (doc, th) in first.items()]
-        sent += [(-1, doc, th, piece, _all(len(piece) - LENGTH + 1)) for doc, th, piece in settled]
+                        first[(key[0], key[1], th)] = (doc, th, anchor)
+        sent = [((key[0] * 0x9E3779B1 >> 7) % slots, *own, key[1], 0) for key, own in first.items()]
+        sent += [(-1, *own, piece, _all(len(piece) - LENGTH + 1)) for *own, piece in settled]
         return dict(zip(_PIECES.names, zip(*sent))) if sent else {c: [] for c in _PIECES.names}
 
     return cut
 
 
 def _judge(rows: pd.DataFrame) -> pd.DataFrame:
-    """(doc_id, th, piece hash, mask): covered positions of the pieces of one slot."""
-    out, first = [], {}
-    for doc, th, piece in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["piece"]):
-        piece = bytes(piece)
+    """(doc_id, th, anchor, piece hash, mask): covered positions of the pieces of one slot."""
+    result, first = [], {}
+    for doc, th, anchor, piece in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["anchor"].tolist(), rows["piece"]):
+        piece, own = bytes(piece), (doc, th, anchor)
         before = first.get(piece)
         if before is None:
-            first[piece] = [(doc, th)]
+            first[piece] = [own]
         elif doc < before[0][0]:
-            out += [(d, t, piece) for d, t in before]
-            first[piece] = [(doc, th)]
+            result += [(*o, _hash(piece), _all(len(piece) - LENGTH + 1)) for o in before]
+            first[piece] = [own]
         elif doc == before[0][0]:
-            before.append((doc, th))
+            before.append(own)
         else:
-            out.append((doc, th, piece))
-    result = [(d, t, _hash(p), _all(len(p) - LENGTH + 1)) for d, t, p in out]
-    # the first copy of each piece: suffixes of all different pieces in order
-    texts = list(first)
+            result.append((*own, _hash(piece), _all(len(piece) - LENGTH + 1)))
+    # the first copy of each piece: suffixes of all different pieces in order, where an anchor has several
+    several = Counter(owners[0][2] for owners in first.values())
+    texts = [piece for piece, owners in first.items() if several[owners[0][2]] > 1]
     docs = np.array([first[t][0][0] for t in texts], np.int64)
-    if len(texts) > 1:
-        result += [(d, t, _hash(piece), mask) for piece, mask in zip(texts, previous_factors(texts, docs)) if mask for d, t in first[piece]]
-    return pd.DataFrame(result, columns=["doc_id", "th", "piece", "mask"]).astype("int64")
+    if texts:
+        result += [(*o, _hash(piece), mask) for piece, mask in zip(texts, previous_factors(texts, docs)) if mask for o in first[piece]]
+    return pd.DataFrame(result, columns=_COVER.names).astype("int64")
 
 
 def _settled(batch: pa.RecordBatch) -> dict:
-    return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "piece": [_hash(p) for p in batch.column("piece").to_pylist()], "mask": batch.column("mask")}
+    return {c: batch.column(c) for c in ("doc_id", "th", "anchor", "mask")} | {"piece": [_hash(p) for p in batch.column("piece").to_pylist()]}
 
 
-_COVER = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "th", "piece", "mask")])
+_COVER = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "th", "anchor", "piece", "mask")])
 
 
 # -------------------------------------------------------------- 3: removal
@@ -289,15 +304,17 @@ _OUT = T.StructType([
 ])
 
 
-def covered(text: bytes, found: np.ndarray, masks: dict[int, int], by_string: np.ndarray | None = None) -> np.ndarray:
-    """Which bytes of a text are covered, given the masks of its pieces.
+def covered(text: bytes, found: np.ndarray, anchor: np.ndarray, masks: dict[int, int], bits: int, hot: frozenset[int] = frozenset()) -> np.ndarray:
+    """Which bytes of a text are covered, given the masks of its pieces and their anchors.
 
-    ``by_string`` tells the pieces, in order, whose anchors are hot: these are looked up string by string.
+    Pieces whose anchor is hot are looked up string by string.
     """
     edge = np.zeros(len(text) + 1, np.int64)
     starts, lasts = pieces(found)
-    for k, (a, b) in enumerate(zip(starts.tolist(), lasts.tolist())):
-        if by_string is not None and by_string[k]:
+    own = _ids(found[starts], bits)
+    for k in np.flatnonzero(np.isin(own, anchor)).tolist():
+        a, b = int(starts[k]), int(lasts[k])
+        if int(own[k]) in hot:
             mask = sum(1 << i for i in range(b - a + 1) if masks.get(_hash(text[a + i:a + i + LENGTH])))
         else:
             mask = masks.get(_hash(text[a:b + LENGTH]))
@@ -309,20 +326,20 @@ def covered(text: bytes, found: np.ndarray, masks: dict[int, int], by_string: np
 
 
 def _remover(bits: int, hot: frozenset[int]):
-    hot_ids = np.array(sorted(hot), np.int64)
-
     def remove(batch: pa.RecordBatch) -> dict:
         texts = _text(batch, "text")
         spans, kept = [], []
-        looked = batch.column("cover").to_pylist()
-        found = anchored([t if c else b"" for t, c in zip(texts, looked)])
-        for text, cover, copy, own in zip(texts, looked, batch.column("copy").to_pylist(), found):
+        cover = batch.column("cover")
+        at, known = cover.offsets.to_pylist(), cover.is_valid().to_pylist()
+        anchor, piece, mask = (cover.values.field(c).to_numpy(zero_copy_only=False) for c in ("anchor", "piece", "mask"))
+        found = anchored([t if k else b"" for t, k in zip(texts, known)])
+        for i, (text, copy, own) in enumerate(zip(texts, batch.column("copy").to_pylist(), found)):
             if copy and len(text) >= LENGTH:
                 spans.append([{"start": 0, "end": len(text)}])
                 kept.append(b"")
-            elif cover:
-                by_string = np.isin(_ids(own[pieces(own)[0]], bits), hot_ids) if len(hot_ids) else None
-                gone = covered(text, own, {c["piece"]: c["mask"] for c in cover}, by_string)
+            elif known[i]:
+                part = slice(at[i], at[i + 1])
+                gone = covered(text, own, anchor[part], dict(zip(piece[part].tolist(), mask[part].tolist())), bits, hot)
                 change = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
                 spans.append([{"start": a, "end": b} for a, b in change.reshape(-1, 2).tolist()])
                 kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
@@ -357,6 +374,7 @@ def deduplicate(docs: DataFrame, hot_batches: int = HOT_BATCHES) -> DataFrame:
     limit = max(hot_batches, int(HOT_SHARE * n_sent / 4))  # so there are 1 / HOT_SHARE hot anchors at most
     met = sent.where(F.col("kind") == _KIND_SEND).groupBy("bucket").applyInPandas(_meet(limit), _SHARED)
     met = written(met.unionAll(map_batches(sent.where(F.col("kind") == _KIND_SHARED).select("docs", "ids"), _unpack, _SHARED)), "lpf-shared")
+    release(sent)  # each table goes as soon as the next one is written
     hot = frozenset(r["id"] for r in met.where(F.col("kind") == _KIND_HOT).select("id").distinct().collect())
     wanted = met.where(F.col("kind") == _KIND_SHARED).groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("id").alias("ids"))
     wanted = light.where(~F.col("copy")).join(wanted, F.col("doc_id") == F.col("d")).select("d", F.col("digest").alias("g"), F.xxhash64("digest").alias("th"), "ids")
@@ -364,12 +382,16 @@ def deduplicate(docs: DataFrame, hot_batches: int = HOT_BATCHES) -> DataFrame:
     looked = keyed.join(wanted, (F.col("doc_id") == F.col("d")) & (F.col("digest") == F.col("g"))).select("doc_id", "th", "text", "ids")
     slots = SLOTS << bits
     cut = written(map_batches(looked, _cut(bits, slots, hot), _PIECES), "lpf-pieces")
+    release(met)
     judged = cut.where(F.col("slot") >= 0).groupBy("slot").applyInPandas(_judge, _COVER)
-    judged = judged.unionAll(map_batches(cut.where(F.col("slot") < 0).select("doc_id", "th", "piece", "mask"), _settled, _COVER))
+    judged = judged.unionAll(map_batches(cut.where(F.col("slot") < 0).select("doc_id", "th", "anchor", "piece", "mask"), _settled, _COVER))
     judged = written(judged, "lpf-cover")
-    cover = judged.groupBy(F.col("doc_id").alias("d"), "th").agg(F.collect_list(F.struct("piece", "mask")).alias("cover"))
+    release(cut)
+    cover = judged.groupBy(F.col("doc_id").alias("d"), "th").agg(F.collect_list(F.struct("anchor", "piece", "mask")).alias("cover"))
     info = light.withColumn("h", F.xxhash64("digest")).join(cover, (F.col("doc_id") == F.col("d")) & (F.col("h") == F.col("th")) & ~F.col("copy"), "left")
     info = written(info.where(F.col("copy") | F.col("cover").isNotNull()).select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), "copy", "cover"), "lpf-info")
+    release(judged)
+    release(light)
     full = keyed.join(info, (F.col("doc_id") == F.col("d")) & (F.col("digest") == F.col("g")), "left").select("doc_id", "text", "copy", "cover")
     return map_batches(full, _remover(bits, hot), _OUT)
 
