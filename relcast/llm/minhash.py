@@ -44,7 +44,9 @@ class Banding:
 BANDING = Banding()
 #: Shingles are linked from 100 * intersection >= PERCENT * union on.
 PERCENT = 80
-SHINGLE = 2
+#: Words of a shingle; the contract of the op6 query sets two.
+SHINGLE = 5
+QUERY_SHINGLE = 2
 
 
 def worker_cache() -> dict:
@@ -305,11 +307,11 @@ def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE)
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_documents(docs: DataFrame, banding: Banding = BANDING) -> DataFrame:
+def keep_documents(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` less those that :func:`components` does not keep."""
-    gone = written(components(docs, banding).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "minhash-gone")
+    gone = written(components(docs, banding, size).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "minhash-gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def op6_query(docs: DataFrame) -> DataFrame:
-    return components(docs)
+    return components(docs, size=QUERY_SHINGLE)

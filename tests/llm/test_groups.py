@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from relcast.llm import common, embeddings, minhash, suffix
 
 
@@ -103,6 +104,23 @@ def test_kept_documents(edge_docs):
     assert ids[1] == 1 and not {2, 3, 8, 19} & set(ids) and ids[None] == 2 and ids[4] == 1
 
 
+def test_stage_links_on_five_words(spark):
+    """Texts of 200 words with scattered changes: from 5 changes on, shingles of two words would still link most of them."""
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for i, changes in enumerate([0, 1, 2, 3, 4, 5, 6, 8, 10, 12]):
+        words = list(base)
+        for k in range(changes):
+            words[10 + 15 * k] = f"v{i}x{k}"
+        docs.append((i, " ".join(words)))
+    grams = lambda text: set(zip(*(text.split()[k:] for k in range(5))))
+    sets = [(i, grams(t)) for i, t in docs]
+    parts = reach([i for i, _ in docs], [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 80 * len(x | y)])
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, table, "").collect()}
+    assert kept == {i for i, c in parts.items() if i == c} and {0, 8, 9} <= kept and 1 not in kept
+
+
 # --------------------------------------------------------------- embeddings
 
 def plain_links(rows):
