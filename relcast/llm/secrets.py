@@ -84,22 +84,23 @@ _RUNS = [(c, re.compile(f"[{c.chars}]{{{c.window},}}")) for c in CLASSES]
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
+    """Hot stretches of every class in its own maximal runs, overlapping ones joined."""
     found: list[tuple[int, int]] = []
     for i, (cls, runs) in enumerate(_RUNS):
         for m in runs.finditer(text):
             run = m.group()
-            if i == 0 and not (_one_of(text, m.start() - 1) or _one_of(text, m.end())):
-                pass  # a whole hex word
-            elif i == 0 or _RUNS[0][1].fullmatch(run):
-                continue  # part of a wider run, or judged as hex
+            if i and _RUNS[0][1].fullmatch(run):
+                continue  # judged as hex
             if any(a.fullmatch(run) for a in ALLOW) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
                 continue
             found += [(m.start() + a, m.start() + b) for a, b in hot_stretches(run, cls.window, cls.bits)]
-    return sorted(found)
-
-
-def _one_of(text: str, at: int) -> bool:
-    return 0 <= at < len(text) and (text[at].isascii() and (text[at].isalnum() or text[at] in "+/_-"))
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def find(text: str | None) -> list[tuple[str, int, int]]:

@@ -123,6 +123,15 @@ def test_entropy_spans_and_allow_list():
         assert not [s for s in secrets.find(text) if s[0] == "entropy"]
 
 
+@pytest.mark.parametrize("prefix", ["/", "ID_", "key-", "v1/keys/", "a+", "0x", "sk_live_", ""])
+def test_hex_keys_inside_wider_runs(prefix):
+    key = "9F86D081884C7D659A2FEAA0C55AD015"
+    for k in (key, key[:16] + key[16:].lower()):
+        for tail in ("", "/x", "-2", "_z"):
+            spans = [s for s in secrets.find(f"see {prefix}{k}{tail} there") if s[0] == "entropy"]
+            assert len(spans) == 1 and spans[0][1] <= 4 + len(prefix) and spans[0][2] >= 4 + len(prefix) + len(k)
+
+
 def test_secret_query(edge_docs, no_docs, rows_of):
     text = {}
     for r in rows_of(edge_docs):
