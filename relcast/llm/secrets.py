@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -47,10 +48,14 @@ ALLOW = tuple(re.compile(p) for p in (
     r"[0-9]+",
     r"[A-Za-z]+",
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"(?s).*(?:EXAMPLE|example|xxxxxx|XXXXXX|placeholder).*",
     r"[A-Za-z]+(?:[/_-][A-Za-z]+)*(?:[/_-][0-9]+)*",
+))
+#: Parts between separators that are no secrets, whatever stands beside them: placeholders, alphabets.
+ALLOW_PARTS = tuple(re.compile(p) for p in (
+    r".*(?:EXAMPLE|example|xxxxxx|XXXXXX|placeholder).*",
     r"(?:0123456789)?(?:abcdef|ABCDEF).*(?:uvwxyz|UVWXYZ|0123456789|456789).*",
 ))
+_PART = re.compile("[A-Za-z0-9]+")
 _LOG = [0.0, 0.0, *(c * math.log2(c) for c in range(2, 513))]
 
 
@@ -81,19 +86,34 @@ def hot_stretches(run: str, window: int, bits: float) -> list[tuple[int, int]]:
 
 
 _RUNS = [(c, re.compile(f"[{c.chars}]{{{c.window},}}")) for c in CLASSES]
+#: The widest class holds the characters of the others.
+_WIDE = re.compile(f"[{CLASSES[-1].chars}]{{{min(c.window for c in CLASSES)},}}")
+
+
+def _unexplained(text: str) -> Iterator[tuple[int, int]]:
+    """The runs of the widest class, cut at the parts that the allow list explains."""
+    for m in _WIDE.finditer(text):
+        at = m.start()
+        for p in _PART.finditer(text, m.start(), m.end()):
+            if any(a.fullmatch(p.group()) for a in ALLOW_PARTS):
+                if at < p.start() - 1:
+                    yield at, p.start() - 1
+                at = min(p.end() + 1, m.end())  # with the separator
+        yield at, m.end()
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Hot stretches of every class in its own maximal runs, overlapping ones joined."""
     found: list[tuple[int, int]] = []
-    for i, (cls, runs) in enumerate(_RUNS):
-        for m in runs.finditer(text):
-            run = m.group()
-            if i and _RUNS[0][1].fullmatch(run):
-                continue  # judged as hex
-            if any(a.fullmatch(run) for a in ALLOW) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
-                continue
-            found += [(m.start() + a, m.start() + b) for a, b in hot_stretches(run, cls.window, cls.bits)]
+    for begin, end in _unexplained(text):
+        for i, (cls, runs) in enumerate(_RUNS):
+            for m in runs.finditer(text, begin, end):
+                run = m.group()
+                if i and _RUNS[0][1].fullmatch(run):
+                    continue  # judged as hex
+                if any(a.fullmatch(run) for a in ALLOW) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+                    continue
+                found += [(m.start() + a, m.start() + b) for a, b in hot_stretches(run, cls.window, cls.bits)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if out and a < out[-1][1]:

@@ -132,6 +132,15 @@ def test_hex_keys_inside_wider_runs(prefix):
             assert len(spans) == 1 and spans[0][1] <= 4 + len(prefix) and spans[0][2] >= 4 + len(prefix) + len(k)
 
 
+@pytest.mark.parametrize("before, after", [("examples/", ""), ("", "/example"), ("my_placeholder-", "_xxxxxxx"), ("abcdefgh/", "/0123456789"), ("v1/EXAMPLE/", "/z")])
+def test_allow_list_spares_what_stands_beside(before, after):
+    for key in ("q7Rt2LmX9vKp4ZsW1nBd8HyC5gTj3FuQ6aEo0iNr", "9F86D081884C7D659A2FEAA0C55AD015"):
+        at = 4 + len(before)
+        spans = [s for s in secrets.find(f"see {before}{key}{after} there") if s[0] == "entropy"]
+        assert len(spans) == 1 and spans[0][1] <= at and spans[0][2] >= at + len(key)
+    assert not [s for s in secrets.find(f"{before}q7Rt2LmX9vKp4ZsW1nBdEXAMPLE8HyC5gTj3FuQ6aEo0iNr{after}") if s[0] == "entropy"]
+
+
 def test_secret_query(edge_docs, no_docs, rows_of):
     text = {}
     for r in rows_of(edge_docs):
