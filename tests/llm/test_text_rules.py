@@ -199,6 +199,30 @@ def test_long_runs_are_linear():
         assert time.time() - began < 10
 
 
+@pytest.mark.parametrize("n", [400, 490, 500, 505, 520, 5000])
+def test_long_passwords_have_whole_addresses(n):
+    for host in ("host.example", "localhost"):
+        url = f"https://bob:{'aB3:' * (n // 4)}@{host}:8080"
+        assert ("address", 4, 4 + len(url)) in pii.find(f"see {url}/x")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a:@.1 /", max_size=12))
+def test_userinfo_matches_plain_pattern(text):
+    plain = re.match(r"[^\s/?#@\"'<>]+:[^\s/?#@\"'<>]+@(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost)(?::[0-9]+)?", text)
+    got = pii._USERINFO.match(text)
+    assert (got and got.span()) == (plain and plain.span())
+
+
+def test_long_schemes_are_linear():
+    import time
+
+    for text in ("x://" + "a:" * 150_000, "x://" + ":" * 300_000, "x://a:b" * 40_000, "tel:1" + "(" * 300_000, "tel:1((" * 40_000):
+        began = time.time()
+        pii.find(text)
+        assert time.time() - began < 10
+
+
 def test_pii_query_and_redaction(edge_docs, no_docs, rows_of):
     got = rows_of(pii.op8_query(edge_docs))
     assert len(got) == edge_docs.count()
