@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from relcast.llm import embeddings, licenses, minhash, mixing, packing, pii, quality, secrets, suffix, warc
+from relcast.llm import cuckoo, embeddings, licenses, merkle, minhash, mixing, packing, phrases, pii, quality, secrets, suffix, warc
 from relcast.llm.common import table
 
 
@@ -25,6 +25,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_anchor_expansion": _over("documents", pii.op8_query),
     "op9_longest_previous_factor": _over("documents", suffix.op9_query),
     "op10_pivotal_mixing": _over("documents", mixing.op10_query),
+    "op11_midstate_tree": _over("documents", merkle.op11_query),
+    "op12_cuckoo_index": _over("documents", cuckoo.op12_query),
+    "op13_son_partitioning": _over("documents", phrases.op13_query),
 }
 
 def _license_rows() -> str:
@@ -35,6 +38,42 @@ def _license_rows() -> str:
     return ", ".join(f"({quoted(n)}, {quoted(x)}, {k})" for n, x, k in rows)
 
 
+def _merkle_levels(nodes: str, key: str, name: str, levels: int) -> str:
+    """CTEs of the levels over ``nodes`` (key, pos, d, n): a node alone passes on, others become the hash of their run of 16."""
+    out, below = "", nodes
+    for k in range(1, levels + 1):
+        out += f"""{name}{k} AS (SELECT {key}, pos // 16 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d, any_value((n + 15) // 16) AS n
+FROM {below} GROUP BY {key}, pos // 16),
+"""
+        below = f"{name}{k}"
+    return out
+
+
+def _merkle_climb(below: str, key: str, name: str, climb: str, first: str, levels: int) -> str:
+    """CTEs that take the rows of ``first`` (r, key, pos, sibs, d) up the levels: siblings are added, the digest is hashed among them."""
+    out = ""
+    for k in range(levels):
+        level = below if k == 0 else f"{name}{k}"
+        out += f"""{climb}{k + 1} AS (SELECT r, {key}, p // 16 AS pos, sibs || CASE WHEN n = 1 THEN '' ELSE l || x END AS sibs, CASE WHEN n = 1 THEN d ELSE sha256(l || d || x) END AS d
+FROM (SELECT c.r, c.{key}, c.pos AS p, any_value(c.sibs) AS sibs, any_value(c.d) AS d, any_value(t.n) AS n,
+             coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos < c.pos), '') AS l, coalesce(string_agg(t.d, '' ORDER BY t.pos) FILTER (t.pos > c.pos), '') AS x
+      FROM {first if k == 0 else f"{climb}{k}"} c JOIN {level} t ON t.{key} = c.{key} AND t.pos // 16 = c.pos // 16 GROUP BY c.r, c.{key}, c.pos)),
+"""
+    return out
+
+
+def _merkle_leaf(text: str) -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Levels of the SQL's trees: 16 ** 6 leaves a source, 16 ** 4 sources.
+_LEAF_LEVELS, _SOURCE_LEVELS = 6, 4
+
+#: CRC-32 in SQL: bit by bit over the digits of the id.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), lambda c, b:
+  list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295::BIGINT)"""
+
 _LICENSE_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES: dict[str, str] = {
@@ -118,5 +157,36 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.b FROM reach r
 parts AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, parts.component_id, w.doc_id = parts.component_id AS kept
 FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id JOIN parts ON parts.doc_id = w.doc_id
+""",
+    "op11_midstate_tree": f"""
+WITH d AS (SELECT row_number() OVER () AS r, *, CASE WHEN {_CRC32} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS given FROM documents),
+leaves AS (SELECT r, doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS sid, {_merkle_leaf('text')} AS d, {_merkle_leaf('given')} AS g FROM d),
+n0 AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY doc_id, d) - 1 AS pos, count(*) OVER (PARTITION BY sid) AS n FROM leaves),
+{_merkle_levels('n0', 'sid', 'up', _LEAF_LEVELS)}s0 AS (SELECT 0 AS one, sid AS pos, d, count(*) OVER () AS n FROM up{_LEAF_LEVELS}),
+{_merkle_levels('s0', 'one', 'top', _SOURCE_LEVELS)}c0 AS (SELECT r, sid, pos, '' AS sibs, g AS d FROM n0),
+{_merkle_climb('n0', 'sid', 'up', 'c', 'c0', _LEAF_LEVELS)}e0 AS (SELECT r, 0 AS one, sid AS pos, sibs, d FROM c{_LEAF_LEVELS}),
+{_merkle_climb('s0', 'one', 'top', 'e', 'e0', _SOURCE_LEVELS)}root AS (SELECT d AS root FROM top{_SOURCE_LEVELS})
+SELECT n0.doc_id, n0.d AS leaf, s0.d AS subroot, root, sha256(e.sibs) AS proof_sha256, e.d AS folded_root, e.d = root AS verified
+FROM n0 JOIN e{_SOURCE_LEVELS} e ON e.r = n0.r JOIN s0 ON s0.pos = n0.sid CROSS JOIN root
+""",
+    "op12_cuckoo_index": r"""
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY x) AS group_size, row_number() OVER w = 1 AS kept, sha256(x) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
+WINDOW w AS (PARTITION BY x ORDER BY doc_id NULLS LAST)
+""",
+    "op13_son_partitioning": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+grams AS (SELECT lang, w[i:i + k - 1] AS g, k, count(*) AS a FROM places, range(1, 6) ks(k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+longer AS (SELECT lang, g[s:s + j - 1] AS g, max(a) AS a FROM grams, range(2, 5) js(j), range(1, 5) ss(s) WHERE j < k AND s + j - 1 <= k GROUP BY ALL),
+cuts AS (SELECT c.lang, c.g, c.a, h.a AS l, t.a AS r, x.n, j, ((1000 * c.a::HUGEINT * x.n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM grams c JOIN range(1, 5) js(j) ON j < c.k JOIN grams h ON h.lang = c.lang AND h.g = c.g[:j] JOIN grams t ON t.lang = c.lang AND t.g = c.g[j + 1:] JOIN totals x ON x.lang = c.lang
+  WHERE NOT EXISTS (SELECT 1 FROM longer b WHERE b.lang = c.lang AND b.g = c.g AND b.a >= c.a)),
+best AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
 """,
 }
