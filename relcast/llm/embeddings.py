@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relcast.llm.common import connected_components, map_batches, written
+from relcast.session import release
 
 COSINE = 0.93
 
@@ -96,7 +97,7 @@ def described(classes: DataFrame, index: Index = INDEX) -> DataFrame:
     """
     n = classes.count()
     size = max(index.least, min(index.most, 2 * math.isqrt(n)))
-    sample = classes.select("dim", "vector", F.xxhash64("digest").alias("h"), "rep").orderBy("h", "rep").limit(size).collect()
+    sample = classes.select("dim", "vector", F.xxhash64("digest").alias("h"), "label").orderBy("h", "label").limit(size).collect()
     by_dim: dict[int, np.ndarray] = {}
     for dim in {r["dim"] for r in sample}:
         by_dim[dim] = np.array([np.frombuffer(r["vector"], np.float64) for r in sample if r["dim"] == dim])
@@ -190,20 +191,26 @@ def components(rows: DataFrame, index: Index = INDEX) -> DataFrame:
     Links join vectors of equal, non-null labels (and equal length) with a
     cosine of COSINE or more. Null, zero and not finite vectors, null labels
     and null ids link with nothing; a null id has a null component and is
-    kept. Repeated rows are vectors of their own. Other columns are not read;
-    an empty table gives no rows.
+    kept. Repeated rows are vectors of their own, also where a vec_id stands on
+    several vectors or labels: each links by its own. Other columns are not
+    read; an empty table gives no rows.
     """
     ready = written(prepared(rows), "pivot-rows")
     known = ready.where(F.col("digest").isNotNull())
-    classes = written(known.groupBy("label", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dim").alias("dim"), F.first("vector").alias("vector")), "pivot-classes")
+    # equal vectors of a label are a class; classes are numbered, and linked
+    classes = known.groupBy("label", "digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("dim").alias("dim"), F.first("vector").alias("vector"))
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()), "pivot-classes")
     found = written(links(classes, index), "pivot-links")
     counts = found.groupBy(F.col("rep").alias("r")).agg(F.sum("links").alias("links"))
     parts = connected_components(found, "rep", "root")
-    judged = classes.select(F.col("label").alias("l"), F.col("digest").alias("d"), "rep", "copies")
+    judged = classes.select(F.col("label").alias("l"), F.col("digest").alias("d"), "rep", "least", "copies")
     judged = judged.join(counts, F.col("rep") == F.col("r"), "left").join(parts, F.col("rep") == F.col("node"), "left")
-    judged = written(judged.select("l", "d", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("c")), "pivot-judged")
-    component = F.coalesce("c", "vec_id")
+    judged = written(judged.select("l", "d", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("c")), "pivot-judged")
+    names = judged.groupBy(F.col("c").alias("nc")).agg(F.min("least").alias("name"))
+    judged = written(judged.join(names, F.col("c") == F.col("nc")).select("l", "d", "n", "name"), "pivot-named")
+    component = F.coalesce("name", "vec_id")
     out = ready.join(judged, (F.col("label") == F.col("l")) & (F.col("digest") == F.col("d")), "left")
+    release(found)
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 

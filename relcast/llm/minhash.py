@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.llm.common import bound_batches, connected_components, map_batches, written
+from relcast.llm.common import bound_batches, connected_components, free_name, map_batches, numbered, written
+from relcast.session import release
 
 UNIVERSE_BITS = 22
 _M1, _M2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
@@ -129,36 +130,47 @@ def band_keys(sig: np.ndarray, banding: Banding) -> np.ndarray:
 
 
 _SKETCH = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+    T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
     T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
 ])
 
 
-def sketches(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, band keys), one row per input row; null digest and bands for empty sets."""
+def _digest(shingles: np.ndarray) -> bytes | None:
+    """128 bits that stand for a set; None for the empty one."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def sketches(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(row, doc_id, n_shingles, digest of the set, band keys), one per input row; null digest and bands for empty sets."""
     def run(batch: pa.RecordBatch) -> dict:
         counts, digests, bands = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             s = shingle_set(text, size)
             counts.append(len(s))
-            digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+            digests.append(_digest(s))
             bands.append(band_keys(signature(s, banding.bands * banding.rows), banding) if len(s) else None)
-        return {"doc_id": batch.column(0), "n_shingles": counts, "digest": digests, "bands": bands}
+        return {"row": batch.column(0), "doc_id": batch.column(1), "n_shingles": counts, "digest": digests, "bands": bands}
+
+    number = F.lit(None).cast("long") if row is None else F.col(row)
+    return map_batches(docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), run, _SKETCH)
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, _SKETCH)
 
+_SETS = T.StructType([T.StructField("d", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 
-_SETS = T.StructType([T.StructField("id", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(id, shingles): the full sets of the classes ``wanted`` (id, digest, least), one per class.
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, shingles): the full sets of the documents in ``ids``, one per id."""
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    Each is built from the texts of the class's smallest doc_id; where that id
+    stands on several texts, the digest picks the class's own.
+    """
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select(F.col("least").alias("l")).distinct(), F.col("doc_id") == F.col("l"), "left_semi")
 
     def run(batch: pa.RecordBatch) -> dict:
-        return {"id": batch.column(0), "shingles": [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]}
+        sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
+        return {"d": [_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]}
 
-    return map_batches(picked, run, _SETS)
+    return wanted.select("id", "digest").join(map_batches(picked, run, _SETS), F.col("digest") == F.col("d")).select("id", "shingles").dropDuplicates(["id"])
 
 
 _CONFIRMED = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("shared", T.LongType()), T.StructField("either", T.LongType())])
@@ -272,23 +284,22 @@ def _compare_side(rows):
     return _compare_blocks(rows)
 
 
-def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per input row.
+def _labelled(docs: DataFrame, banding: Banding, size: int, row: str | None = None) -> DataFrame:
+    """(row, doc_id, n_shingles, digest, component, least): the component (a number) and its smallest doc_id of every row; null for rows without a set or an id.
 
-    ``component_id`` is the smallest doc_id reachable over links. Null texts
-    and texts without words have no shingles and are linked with nothing. A
-    null doc_id cannot name a component: such rows are kept, alone. Rows that
-    repeat a doc_id count as one document with several texts. Other columns
-    are not read; an empty table gives no rows.
+    Equal sets are a class, and classes are what is linked. They are numbered,
+    so a doc_id that stands on several texts takes part with each of them.
     """
-    rows = written(sketches(docs, banding, size), "minhash-sketches")
+    rows = written(sketches(docs, banding, size, row), "minhash-sketches")
     known = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = written(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-classes")
-    keyed = classes.select(F.explode("bands").alias("key"), F.col("rep").alias("id"), "n")
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
+    keyed = classes.select(F.explode("bands").alias("key"), "id", "n")
     shared = keyed.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("id", "n")).alias("c"), F.count("*").alias("m")).where(F.col("m") > 1)
     shared = written(shared.select("k", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "minhash-buckets")
     joined = written(keyed.join(shared, F.col("key") == F.col("k")).drop("k"), "minhash-members")
-    sets = written(_sets(docs, joined.select("id").distinct(), size).dropDuplicates(["id"]), "minhash-sets")
+    wanted = classes.join(joined.select(F.col("id").alias("i")).distinct(), F.col("id") == F.col("i"), "left_semi")
+    sets = written(_sets(docs, wanted, size), "minhash-sets")
 
     # every member against the centre of its buckets
     star = joined.where((F.col("id") != F.col("centre")) & _sizes_allow(F.col("n"), F.col("centre_n")))
@@ -300,17 +311,46 @@ def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE)
     links = links.unionAll(written(_between_components(joined, links, sets), "minhash-more"))
 
     parts = connected_components(links)
-    by_digest = classes.select(F.col("digest").alias("d"), "rep").join(parts, F.col("rep") == F.col("node"), "left").select("d", F.coalesce("component", "rep").alias("c"))
-    by_digest = written(by_digest, "minhash-parts")
-    component = F.when(F.col("doc_id").isNotNull(), F.least(F.coalesce("c", "doc_id"), F.col("doc_id")))
-    return rows.join(by_digest, F.col("digest") == F.col("d"), "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    placed = classes.join(parts, F.col("id") == F.col("node"), "left").select("digest", "least", F.coalesce("component", "id").alias("component"))
+    placed = written(placed, "minhash-placed")
+    names = placed.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("name"))
+    by_digest = written(placed.join(names, F.col("component") == F.col("c")).select(F.col("digest").alias("d"), "component", "name"), "minhash-parts")
+    out = rows.join(by_digest, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left")
+    out = out.select("row", "doc_id", "n_shingles", "component", F.coalesce("name", "doc_id").alias("least"))
+    for scratch in (joined, shared, sets, first, placed):
+        release(scratch)
+    return out
+
+
+def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per input row.
+
+    ``component_id`` is the smallest doc_id reachable over links. Null texts
+    and texts without words have no shingles and are linked with nothing. A
+    null doc_id cannot name a component: such rows are kept, alone. Rows that
+    repeat a doc_id are documents of their own, each linked by its own text.
+    Other columns are not read; an empty table gives no rows.
+    """
+    rows = _labelled(docs, banding, size)
+    return rows.select("doc_id", "n_shingles", F.col("least").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("least")).alias("kept"))
 
 
 def keep_documents(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` less those that :func:`components` does not keep."""
-    gone = written(components(docs, banding, size).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "minhash-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each component, all columns as they were.
+
+    The row with the smallest doc_id stays; of rows that repeat this id, linked
+    with each other or equal, the first read. Rows with a null doc_id, a null
+    text or a text without words are linked with nothing and stay. No text is
+    lost: every row that goes has a linked row that stays, or one it reaches
+    over links. Columns may have any names. An empty table stays empty.
+    """
+    held, row = numbered(docs, "minhash-docs")
+    rows = written(_labelled(held, banding, size, row).where(F.col("component").isNotNull()).select("row", "doc_id", "component"), "minhash-rows")
+    stay = rows.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("r"))
+    number = free_name(held, "gone")
+    gone = written(rows.join(stay, F.col("row") == F.col("r"), "left_anti").select(F.col("row").alias(number)), "minhash-gone")
+    release(rows)
+    return held.join(gone, F.col(row) == F.col(number), "left_anti").drop(row)
 
 
 def op6_query(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.llm.common import WORD_RE, written
+from relcast.llm.common import WORD_RE, free_name, numbered, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -35,9 +35,10 @@ REPAIRS = 3
 _EPS = 1e-9
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): size is the number of words, 0 for null texts."""
+def sized(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """(row, doc_id, source, size, text_hash): size is the number of words, 0 for null texts."""
     return docs.select(
+        (F.monotonically_increasing_id() if key is None else F.col(key)).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD_RE)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64("text").alias("text_hash"),
@@ -114,7 +115,7 @@ def fight(ids: list, masses: list[float], seed: int, source, last: bool) -> list
 
 def _rounder(seed: int, last: bool):
     def round_block(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["size", "doc_id", "text_hash"], ascending=[False, True, True], ignore_index=True)
+        block = block.sort_values(["size", "doc_id", "text_hash", "row"], ascending=[False, True, True, True], ignore_index=True)
         source = block["source"].iloc[0]
         ids = [None if pd.isna(i) else int(i) for i in block["doc_id"]]
         block["mass"] = fight(ids, block["mass"].tolist(), seed, None if pd.isna(source) else source, last)
@@ -124,18 +125,21 @@ def _rounder(seed: int, last: bool):
     return round_block
 
 
-_STATE = "row long, doc_id long, source string, text_hash long, size long, whole int, mass double, block long"
+#: Ids travel as text: pandas would turn a column with nulls into floats.
+_STATE = "row long, doc_id string, source string, text_hash long, size long, whole int, mass double, block long"
 
 
-def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES, seed: int = 17) -> DataFrame:
-    """One row per input row: doc_id, source, text_hash, size, source_size, target, copies, taken.
+def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES, seed: int = 17, key: str | None = None) -> DataFrame:
+    """One row per input row: row, doc_id, source, text_hash, size, source_size, target, copies, taken.
+
+    ``row`` is the number in the column ``key`` of a row, or one given here.
 
     Reruns agree: chance comes from hashes of the ids. Null texts and texts
     without words have size 0 and take part like others; a source without
     words has target 0 and no copies. Null sources are one source; null ids
     and repeated rows are ordinary documents. An empty table gives no rows.
     """
-    sizes = written(sized(docs).withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    sizes = written(sized(docs, key), "mix-sizes")
     goals = written(targets(sizes, weights, share, most), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     blocks = F.ceil(F.col("n_docs") / F.lit(BLOCK))
@@ -143,7 +147,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     whole = F.when(F.abs(rate - near) < _EPS, near).otherwise(F.floor(rate))
     goal = goals.select(F.col("source").alias("s"), rate.alias("rate"), whole.cast("int").alias("whole"), blocks.alias("blocks"))
     state = (sizes.join(goal, F.col("source").eqNullSafe(F.col("s")))
-             .select("row", "doc_id", "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
+             .select("row", F.col("doc_id").cast("string").alias("doc_id"), "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
                      F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("blocks")).alias("block")))
     levels = max(1, 1 + math.ceil(math.log(max(1, goals.agg(F.max(blocks)).first()[0] or 1), FAN_IN)))
     settled = []
@@ -157,11 +161,12 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     for more in settled[1:]:
         rows = rows.unionAll(more)
     goal = goals.select(F.col("source").alias("s"), "source_size", "target", (F.abs(rate - near) >= _EPS).alias("open"))
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", F.col("whole") + F.col("mass").cast("int"))
     rows = rows.select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "open", "whole", "copies")
     for _ in range(REPAIRS):
         rows = _repaired(rows)
-    return rows.select("doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return rows.select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def _repaired(rows: DataFrame) -> DataFrame:
@@ -180,16 +185,17 @@ def _repaired(rows: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (0 to 2 times).
 
-    Rows that agree in doc_id and text share the copies of their group.
+    Rows are drawn one by one: rows that agree in doc_id and text, in one
+    source or in several, have copies of their own. Null texts, ids and sources
+    are treated as in :func:`copies`. Columns may have any names and are
+    returned as they were. An empty table stays empty.
     """
-    drawn = copies(docs, **options).groupBy("doc_id", "text_hash").agg(F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows"))
+    held, row = numbered(docs, "mix-docs")
+    number, times = free_name(held, "drawn"), free_name(held, "times")
+    drawn = copies(held, key=row, **options).where(F.col("copies") > 0).select(F.col("row").alias(number), F.col("copies").alias(times))
     drawn = written(drawn, "mix-drawn")
-    kept = docs.withColumn("_th", F.xxhash64("text"))
-    if not drawn.where(F.col("_rows") > 1).isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_th"])
-    drawn = drawn.where(F.col("_copies") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "_copies")
-    kept = kept.join(drawn, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h")))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = held.join(drawn, F.col(row) == F.col(number))
+    return kept.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_query(docs: DataFrame) -> DataFrame:

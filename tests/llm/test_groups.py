@@ -33,22 +33,27 @@ def test_connected_components(spark):
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def plain_set(text):
+def plain_set(text, size=2):
     words = (text or "").encode().lower().split()
-    return {tuple(words[i:i + 2]) for i in range(len(words) - 1)} if len(words) > 1 else {tuple(words)} if words else set()
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if len(words) > size else {tuple(words)} if words else set()
 
 
-def plain_near(rows):
-    ids = [r["doc_id"] for r in rows if r["doc_id"] is not None]
-    sets = [(r["doc_id"], plain_set(r["text"])) for r in rows if r["doc_id"] is not None]
-    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if x and y and 100 * len(x & y) >= 80 * len(x | y)]
-    return reach(ids, links)
+def plain_near(rows, size=2):
+    """The smallest doc_id reachable from every row; rows without an id are linked with nothing."""
+    sets = [plain_set(r["text"], size) if r["doc_id"] is not None else set() for r in rows]
+    links = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if x and y and 100 * len(x & y) >= 80 * len(x | y)]
+    parts = reach(range(len(rows)), links)
+    least = {}
+    for i, r in enumerate(rows):
+        if r["doc_id"] is not None:
+            least[parts[i]] = min(least.get(parts[i], r["doc_id"]), r["doc_id"])
+    return [least.get(parts[i]) for i in range(len(rows))], parts
 
 
 def check_near(docs, rows_of):
     rows = rows_of(docs)
-    parts = plain_near(rows)
-    want = Counter((r["doc_id"], len(plain_set(r["text"])), parts.get(r["doc_id"]), r["doc_id"] is None or parts[r["doc_id"]] == r["doc_id"]) for r in rows)
+    least, _ = plain_near(rows)
+    want = Counter((r["doc_id"], len(plain_set(r["text"])), c, r["doc_id"] == c) for r, c in zip(rows, least))
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in rows_of(minhash.op6_query(docs)))
     assert got == want
 
@@ -81,6 +86,32 @@ def test_short_texts(spark, rows_of):
     check_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rows_of)
 
 
+def repeated_ids(spark, partitions):
+    """An id on linked texts, on texts of different groups, and on equal ones; columns with helper-like names."""
+    words = [f"w{i}" for i in range(40)]
+    a, b, c = " ".join(words), " ".join(reversed(words)), " ".join(words[::2])
+    near = lambda text: text + " more"
+    rows = [(5, a), (3, a), (5, b), (9, b), (9, near(b)), (4, near(a)), (7, c), (7, near(c)), (7, c), (2, c), (1, "alone"), (None, a), (None, a), (6, None), (6, "")]
+    return spark.createDataFrame([(i, t, k, k, k, k, k, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _gone int, row int, gone int, _row int, id int, digest int").repartition(partitions)
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 3, 7])
+def test_ids_on_several_texts(spark, rows_of, partitions):
+    docs = repeated_ids(spark, partitions)
+    check_near(docs, rows_of)
+    rows = rows_of(docs)
+    _, parts = plain_near(rows)
+    kept = minhash.keep_documents(docs, size=2)
+    assert kept.schema == docs.schema
+    got = {r["_gone"] for r in rows_of(kept)}
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(parts[i], []).append(r)
+    for members in groups.values():  # one row of each group stays, with the smallest id: no text is lost
+        left = [r for r in members if r["_gone"] in got]
+        assert len(left) == 1 and left[0]["doc_id"] == min((r["doc_id"] for r in members), key=lambda i: (i is None, i))
+
+
 def test_circulant_table_is_a_permutation():
     table = minhash.circulant_table(16)
     size = 1 << minhash.UNIVERSE_BITS
@@ -153,14 +184,32 @@ def vectors(spark):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, kept string, links int").repartition(3)
 
 
+def plain_vectors(rows, pairs, links):
+    parts, least = reach(range(len(rows)), pairs), {}
+    for i, r in enumerate(rows):
+        if r["vec_id"] is not None:
+            least[parts[i]] = min(least.get(parts[i], r["vec_id"]), r["vec_id"])
+    return Counter((r["vec_id"], links[i], least.get(parts[i]), r["vec_id"] == least.get(parts[i])) for i, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 3, 7])
+def test_ids_on_several_vectors(spark, rows_of, partitions):
+    a, near_a, b = [1.0, 0.0, 0.1], [1.0, 0.0, 0.11], [0.0, 1.0, 0.0]
+    rows = [(1, a, "x"), (1, b, "x"), (2, near_a, "x"), (1, a, "y"), (3, b, "x"), (0, b, "y"), (2, near_a, "y"), (2, near_a, "y"), (4, [0.0, 0.0, 1.0], "x")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(partitions)
+    rows = rows_of(table)
+    pairs = plain_links(rows)
+    want = plain_vectors(rows, pairs, Counter(x for p in pairs for x in p))
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows_of(embeddings.op7_query(table))) == want
+
+
 @pytest.mark.parametrize("block", [512, 5])
 def test_embeddings_match_brute_force(spark, rows_of, block):
     table = vectors(spark)
     rows = rows_of(table)
     pairs = plain_links(rows)
     links = Counter(x for p in pairs for x in p)
-    parts = reach({r["vec_id"] for r in rows if r["vec_id"] is not None}, [(rows[i]["vec_id"], rows[j]["vec_id"]) for i, j in pairs])
-    want = Counter((r["vec_id"], links[i], parts.get(r["vec_id"]), r["vec_id"] is None or parts[r["vec_id"]] == r["vec_id"]) for i, r in enumerate(rows))
+    want = plain_vectors(rows, pairs, links)
     got = Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows_of(embeddings.components(table, embeddings.Index(block=block))))
     assert got == want
     assert embeddings.op7_query(table.where("false")).count() == 0
