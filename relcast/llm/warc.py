@@ -8,7 +8,11 @@ under 16 MiB, so rows leave that byte off and the separator restores it.
 The reader checks every record (member checksum, version line, headers, length,
 separator, payload digest). After a failed check it searches for the next gzip
 member or version line that starts a valid record, recovers from there on, and
-reports the bytes in between as a quarantined gap.
+reports the bytes in between as a quarantined gap. Of a member that breaks off,
+the records are recovered that stand whole in what could be decompressed.
+
+The search is linear: where a header block ends is looked up once, and a failed
+check says up to where no other start can succeed.
 """
 
 from __future__ import annotations
@@ -25,12 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.llm.common import bound_batches, map_batches, written
+from relcast.llm.common import bound_batches, written
 from relcast.session import scratch_path
 
 #: Payloads of at least so many bytes are stored once; equal ones refer to that record.
 REVISIT_BYTES = 1000
-#: Records per archive, which bounds what a reading task holds at once.
+#: An archive is closed once it has so many bytes or records, which bounds what a reading task holds at once.
+ARCHIVE_BYTES = 64 << 20
 ARCHIVE_RECORDS = 8192
 GZIP_LEVEL = 4
 DATE = "1970-01-01T00:00:00Z"
@@ -38,7 +43,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r?\n")
-_START = re.compile(rb"\x1f\x8b\x08|WARC/(?:0\.1[78]|1\.[01])\r?\n")
+_MEMBER = re.compile(re.escape(_MAGIC))
 _HEADER_END = re.compile(rb"\r?\n\r?\n")
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -67,7 +72,28 @@ class Gap:
 
 
 class Damaged(Exception):
-    """A failed check."""
+    """A failed check.
+
+    No plain record starts before ``skip``. ``content`` is what could be
+    decompressed of a broken member; it is ``sound`` if nothing contradicts it.
+    """
+
+    def __init__(self, reason: str, skip: int = 0, content: bytes = b"", sound: bool = False):
+        super().__init__(reason)
+        self.skip, self.content, self.sound = skip, content, sound
+
+
+class Finder:
+    """First matches of a pattern at or behind growing places; what lies between is searched once."""
+
+    def __init__(self, pattern: re.Pattern, data: bytes):
+        self.pattern, self.data, self.asked, self.found = pattern, data, -1, None
+
+    def __call__(self, at: int) -> re.Match | None:
+        if self.asked < 0 or at < self.asked or (self.found is not None and self.found.start() < at):
+            self.found = self.pattern.search(self.data, at)
+            self.asked = at
+        return self.found
 
 
 # ------------------------------------------------------------------- writing
@@ -118,49 +144,71 @@ def write_archives(pages: DataFrame, path: str) -> None:
     marked = rows.withColumn("key", key).join(latest, F.col("key") == F.col("k"), "left")
     marked = marked.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("latest")), F.col("latest")).alias("refers_to"))
 
-    def build(batch: pa.RecordBatch) -> dict:
-        columns = [c.to_pylist() for c in batch.columns]
-        return {"member": [gzip_member(record_bytes(p, u, h.encode("utf-8", "surrogatepass"), r))[:-1] for p, u, h, r in zip(*columns)]}
-
-    members = map_batches(marked, build, T.StructType([T.StructField("member", T.BinaryType())]))
-    (members.select(F.col("member").cast("string")).write.option("lineSep", "\x00").option("maxRecordsPerFile", ARCHIVE_RECORDS)
+    members = _dealt(marked.select("page_id", "url", "html", "refers_to"))
+    (members.write.partitionBy("archive").option("lineSep", "\x00").option("maxRecordsPerFile", ARCHIVE_RECORDS)
      .mode("overwrite").text(path))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """(member, archive): the members in order, and the number of the archive within the task, which changes once ARCHIVE_BYTES are full."""
+    bound_batches(rows.sparkSession)
+    schema = pa.schema([("member", pa.binary()), ("archive", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive, size = 0, 0
+        for batch in batches:
+            members, archives = [], []
+            for p, u, h, r in zip(*(c.to_pylist() for c in batch.columns)):
+                members.append(gzip_member(record_bytes(p, u, h.encode("utf-8", "surrogatepass"), r))[:-1])
+                archives.append(archive)
+                size += len(members[-1]) + 1
+                if size >= ARCHIVE_BYTES:
+                    archive, size = archive + 1, 0
+            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()), pa.array(archives, pa.int64())], schema=schema)
+
+    return rows.mapInArrow(run, "member binary, archive long").select(F.col("member").cast("string").alias("member"), "archive")
+
+
 # ------------------------------------------------------------------- reading
 
-def parse_record(data: bytes, at: int) -> Record:
+def parse_record(data: bytes, at: int, ends: Finder | None = None) -> Record:
     """The record at ``at`` in plain bytes; raises Damaged if any check fails."""
     version = _VERSION.match(data, at)
     if not version:
         raise Damaged("no version line")
-    head_end = _HEADER_END.search(data, version.end() - 2)
+    head_end = (ends or Finder(_HEADER_END, data))(version.end() - 2)
     if not head_end:
-        raise Damaged("headers do not end")
+        raise Damaged("headers do not end", len(data))
     headers: dict[str, str] = {}
-    name = ""
-    for line in data[version.end():head_end.start()].splitlines():
+    name, pos = "", version.end()
+    while pos < head_end.start():
+        stop = data.find(b"\n", pos, head_end.start())
+        stop = head_end.start() if stop < 0 else stop
+        line = data[pos:stop].rstrip(b"\r")
         if line[:1] in (b" ", b"\t") and name:
             headers[name] += " " + line.strip().decode("utf-8", "replace")
-            continue
-        key, colon, value = line.partition(b":")
-        if not colon:
-            raise Damaged("header without a colon")
-        name = key.strip().decode("utf-8", "replace").lower()
-        headers[name] = value.strip().decode("utf-8", "replace")
+        else:
+            key, colon, value = line.partition(b":")
+            if not colon:
+                raise Damaged("header without a colon", pos)  # a start before this line has it too
+            name = key.strip().decode("utf-8", "replace").lower()
+            headers[name] = value.strip().decode("utf-8", "replace")
+        pos = stop + 1
+    # from here on, any other start before the end of these headers has them in part, and the same block
+    beyond = head_end.start()
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit() or "warc-type" not in headers:
-        raise Damaged("no length or type")
+        raise Damaged("no length or type", beyond)
     start, end = head_end.end(), head_end.end() + int(length)
     if end > len(data):
-        raise Damaged("block is cut off")
+        raise Damaged("block is cut off", beyond)
     close = _HEADER_END.match(data, end)
     if not close and end != len(data):
-        raise Damaged("no separator behind the block")
+        raise Damaged("no separator behind the block", beyond)
     record = Record(at, close.end() if close else end, headers, data[start:end])
     wanted = digest_hex(headers.get("warc-payload-digest"))
     if wanted and headers["warc-type"] != "revisit" and hashlib.sha1(record.payload).hexdigest() != wanted:
-        raise Damaged("payload digest differs")
+        raise Damaged("payload digest differs", beyond)
     return record
 
 
@@ -177,30 +225,67 @@ def digest_hex(text: str | None) -> str | None:
         return None
 
 
+#: Longest name or comment in the header of a gzip member.
+_MOST_NAME = 4096
+
+
+def _member_starts(data: bytes, at: int) -> bool:
+    """Whether a plausible gzip header stands at ``at``, so that a false start need not be read to the end."""
+    flags = data[at + 3] if at + 3 < len(data) else 0xFF
+    if flags & 0xE0:
+        return False
+    pos = at + 10
+    if flags & 4:
+        pos += 2 + int.from_bytes(data[pos:pos + 2], "little")
+    for bit in (8, 16):
+        if flags & bit:
+            pos = data.find(b"\0", pos, pos + _MOST_NAME) + 1
+            if not pos:
+                return False
+    return True
+
+
 def inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``; raises Damaged if it is broken or cut off."""
+    """Content and end of the gzip member at ``at``; raises Damaged, with what could be decompressed, if it is broken or cut off."""
+    if not _member_starts(data, at):
+        raise Damaged("no gzip header")
     unpack = zlib.decompressobj(31)
-    parts, pos = [], at
-    try:
-        while not unpack.eof and pos < len(data):
-            step = data[pos:pos + (1 << 16)]
+    parts, pos, size = [], at, 64  # steps grow: most false starts break at once
+    while not unpack.eof and pos < len(data):
+        step = data[pos:pos + size]
+        size = min(4 * size, 1 << 16)
+        before = unpack.copy()
+        try:
             parts.append(unpack.decompress(step))
-            pos += len(step)
-    except zlib.error as e:
-        raise Damaged(f"gzip: {e}") from e
+        except zlib.error as e:
+            for k in range(0, len(step), 64):  # the step again in small parts, up to the one that breaks
+                try:
+                    parts.append(before.decompress(step[k:k + 64]))
+                except zlib.error:
+                    break
+            raise Damaged(f"gzip: {e}", content=b"".join(parts)) from e
+        pos += len(step)
     if not unpack.eof:
-        raise Damaged("gzip member is cut off")
+        raise Damaged("gzip member is cut off", content=b"".join(parts), sound=True)
     return b"".join(parts), pos - len(unpack.unused_data)
 
 
+def _verified(record: Record) -> bool:
+    """Whether the record states a digest of its payload (which was then checked)."""
+    return record.headers["warc-type"] != "revisit" and digest_hex(record.headers.get("warc-payload-digest")) is not None
+
+
 def salvage(data: bytes) -> Iterator[Record | Gap]:
     """Records and gaps of an archive in order; together they cover all its bytes.
 
     Records in a member carry the member's byte range. A member that holds
     damaged records yields those that can be recovered, and a gap with the
-    member's range for the rest.
+    member's range for the rest. So does a member that breaks off: its records
+    up to the break carry the range up to where the search goes on. Where its
+    compressed data contradict themselves, records count only if their payload
+    matches a digest.
     """
-    pos, gap = 0, None
+    pos, gap, ends, members, versions = 0, None, Finder(_HEADER_END, data), Finder(_MEMBER, data), Finder(_VERSION, data)
     while pos < len(data):
         try:
             if data.startswith(_MAGIC, pos):
@@ -212,13 +297,20 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                     Record(pos, end, r.headers, r.block) if isinstance(r, Record) else Gap(pos, end, f"{r.reason} (bytes {r.offset} to {r.end} of the member)")
                     for r in found]
             else:
-                record = parse_record(data, pos)
+                record = parse_record(data, pos, ends)
                 items, end = [record], record.end
         except Damaged as e:
-            gap = gap or Gap(pos, pos, str(e))
-            m = _START.search(data, pos + 1)
-            pos = m.start() if m else len(data)
-            gap.end = pos
+            next_ = (members(pos + 1), versions(max(pos + 1, e.skip)))
+            end = min((m.start() for m in next_ if m), default=len(data))
+            whole = [r for r in salvage_plain(e.content) if isinstance(r, Record) and (e.sound or _verified(r))] if e.content else []
+            if whole:
+                if gap:
+                    yield gap
+                yield from (Record(pos, end, r.headers, r.block) for r in whole)
+                gap = Gap(pos, end, f"{e} (behind byte {whole[-1].end} of the member)")
+            else:
+                gap = gap or Gap(pos, pos, str(e))
+            gap.end = pos = end
             continue
         if gap:
             yield gap
@@ -231,13 +323,13 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
 
 def salvage_plain(data: bytes) -> Iterator[Record | Gap]:
     """The same for uncompressed records alone."""
-    pos, gap = 0, None
+    pos, gap, ends, starts = 0, None, Finder(_HEADER_END, data), Finder(_VERSION, data)
     while pos < len(data):
         try:
-            record = parse_record(data, pos)
+            record = parse_record(data, pos, ends)
         except Damaged as e:
             gap = gap or Gap(pos, pos, str(e))
-            m = _VERSION.search(data, pos + 1)
+            m = starts(max(pos + 1, e.skip))
             pos = gap.end = m.start() if m else len(data)
             continue
         if gap:

@@ -67,6 +67,71 @@ def test_damage_loses_only_the_damaged_record(packed, seed):
     check_cover(data, got)
 
 
+@pytest.mark.parametrize("kind", ["cut", "broken", "checksum"])
+def test_records_of_a_broken_member_of_many(kind):
+    """Ten records in one member: nine stand before the break, or all have their digests."""
+    payloads, records = build(10, 3)
+    payloads = [p + random.Random(i).randbytes(3000) for i, p in enumerate(payloads)]
+    records = [warc.record_bytes(i, f"http://h/{i}", p, None) for i, p in enumerate(payloads)]
+    member = bytearray(warc.gzip_member(b"".join(records)))
+    if kind == "cut":
+        del member[-2000:]
+    elif kind == "broken":
+        member[-1500:-1490] = b"\xff" * 10
+    else:
+        member[-6] ^= 0x55
+    after = warc.gzip_member(warc.record_bytes(99, "http://h/99", b"later", None))
+    got = [*warc.salvage(bytes(member) + after)]
+    found = [r.payload for r in got if isinstance(r, warc.Record)]
+    assert found[:9] == payloads[:9] and found[-1] == b"later" and len(found) in (10, 11)
+    assert any(isinstance(g, warc.Gap) for g in got)
+    check_cover(bytes(member) + after, got)
+
+
+def test_undigested_records_of_contradictory_members_do_not_count():
+    block = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 5000\r\n\r\n" + bytes(random.Random(1).choices(b"abcdef", k=5000)) + b"\r\n\r\n"
+    member = bytearray(gzip.compress(block * 3))
+    member[-7] ^= 0x55  # the checksum does not fit
+    assert not [r for r in warc.salvage(bytes(member)) if isinstance(r, warc.Record)]
+    cut = gzip.compress(block * 3 + random.Random(2).randbytes(5000))[:-3000]
+    assert len([r for r in warc.salvage(cut) if isinstance(r, warc.Record)]) == 3
+
+
+@pytest.mark.parametrize("noise", [b"WARC/1.0\r\n", b"x: WARC/1.1\r\n", b"WARC/1.1\r\na: b\r\n", b"WARC/1.0\r\nContent-Length: 9\r\nWARC-Type: x\r\n\r\n", b"\x1f\x8b\x08", b"\r\n\r\n"])
+@pytest.mark.parametrize("tail", [b"", b"\r\n\r\n"])
+def test_salvage_is_linear(noise, tail):
+    import time
+
+    _, records = build(1)
+    data = noise * ((2 << 20) // len(noise)) + tail + b"\n" + records[0]
+    start = time.time()
+    got = [*warc.salvage(data)]
+    assert time.time() - start < 20
+    check_cover(data, got)
+    assert any(isinstance(r, warc.Record) and r.headers["warc-record-id"] == "<urn:page:0>" for r in got)
+
+
+def test_noise_between_records_is_searched_once():
+    import time
+
+    payloads, records = build(4)
+    noise = random.Random(5).randbytes(10 << 20)
+    start = time.time()
+    got = [*warc.salvage(records[0] + noise + records[1] + noise[:1000] + warc.gzip_member(records[2]) + records[3])]
+    assert time.time() - start < 20 and [r.payload for r in got if isinstance(r, warc.Record)] == payloads
+
+
+def test_archives_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    rng = random.Random(6)
+    pages = spark.createDataFrame([(i, "u", "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(1000 + i))) for i in range(60)], "page_id long, url string, html string").repartition(2)
+    path = scratch_path(spark, "warc-bounded")
+    warc.write_archives(pages, path)
+    sizes = [r.length for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length").collect()]
+    assert len(sizes) > 4 and max(sizes) < 24_000
+    assert warc.read_archives(spark, path).where("damage is null").count() == 60
+
+
 def test_foreign_members_and_empty_input():
     _, records = build(3)
     whole = gzip.compress(b"".join(records))  # several records in one member
