@@ -40,7 +40,10 @@ class Bands:
     own band."""
 
     bands: tuple[Band, ...] = (
-        Band(256, 0.30, 0.90), Band(1024, 0.25, 0.80), Band(4096, 0.20, 0.72), Band(16384, 0.15, 0.68), Band(65536, 0.10, 0.66),
+        Band(256, 0.575, 0.78), Band(362, 0.530, 0.76), Band(512, 0.520, 0.73), Band(724, 0.498, 0.68), Band(1024, 0.480, 0.63),
+        Band(1448, 0.458, 0.60), Band(2048, 0.450, 0.57), Band(2896, 0.442, 0.55), Band(4096, 0.430, 0.53), Band(5793, 0.420, 0.52),
+        Band(8192, 0.412, 0.50), Band(11585, 0.405, 0.49), Band(16384, 0.398, 0.48), Band(23170, 0.390, 0.48), Band(32768, 0.375, 0.48),
+        Band(65536, 0.350, 0.48),
     )
     chunk: int = 4096
     share: float = 0.5
@@ -58,7 +61,11 @@ class Bands:
         return -1 if ratio < limits.low else 1 if ratio > limits.high else 0
 
 
-#: The production limits. Natural prose lies near the middle of each band.
+#: The production limits. They are what :func:`fitted` finds on the 3,979 labelled
+#: rows of a 10,000-document table of prose in four languages of Latin script,
+#: made smooth by hand and widened a little. Of its labelled documents they
+#: reject none of the 3,243 good ones that pass the base rule, and 194 of the
+#: 291 bad ones that do. Text in other scripts has other ratios: fit anew.
 BANDS = Bands()
 
 OUT = T.StructType([
@@ -120,6 +127,34 @@ def verdict(raw: bytes, bands: Bands, compressor) -> dict:
     return {"ratio": ratio, "outside_share": share, "reason": reason}
 
 
+#: Labelled documents that :func:`fitted` reads at most.
+FIT_SAMPLE = 50_000
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = FIT_SAMPLE, margin: float = 0.01, tail: float = 0.001, least: int = 20) -> Bands:
+    """Limits from the good documents of a bounded sample of labelled ones.
+
+    ``labels`` has (doc_id, quality); 1 is good. Of the labelled documents that
+    pass the base rule, ``sample`` are read (those with the smallest hashes of
+    their ids). Bands are half powers of two of the size; a band's limits are
+    the ``tail`` quantiles of its good documents' ratios, ``margin`` further
+    out. Bands with fewer than ``least`` good documents take the limits of the
+    next smaller one.
+    """
+    good = labels.where("quality = 1").select(F.col("doc_id").alias("id")).distinct()
+    picked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("id"), "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = judge(picked).join(picked.select(F.col("doc_id").alias("id"), F.octet_length("text").alias("bytes")).dropDuplicates(["id"]), F.col("doc_id") == F.col("id"))
+    rows = rows.where(~F.col("base_failed") & (F.col("bytes") >= 256))
+    band = F.least(F.floor(2 * F.log2(F.col("bytes") / 256)), F.lit(19)).cast("int")
+    limits = rows.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.percentile("ratio", F.array(F.lit(tail), F.lit(1 - tail))).alias("q"))
+    found = {r["band"]: r["q"] for r in limits.collect() if r["n"] >= least}  # 20 rows at most
+    out: list[Band] = []
+    for k in range(20):
+        if k in found:
+            out.append(Band(round(256 * 2 ** (k / 2)), found[k][0] - margin, found[k][1] + margin))
+    return Bands(tuple(out))
+
+
 def judge(docs: DataFrame, bands: Bands = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts and verdict of every text, one row per input row.
 
