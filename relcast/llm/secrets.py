@@ -3,8 +3,11 @@
 Candidate strings are runs of one character class. A window slides over each
 and its entropy is kept up to date by incremental counts: one character
 enters, one leaves, and the sum of c*log2(c) changes in two terms. Stretches
-whose windows reach the class's limit become spans, unless the allow list
+whose windows reach the class's limits become spans, unless the allow list
 explains them (plain numbers, UUIDs, placeholders, alphabets).
+
+Keys of single-case letters alone are not looked for: short windows of them
+cannot be told from words run together.
 """
 
 from __future__ import annotations
@@ -32,17 +35,32 @@ _HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more is a run that passes
 
 @dataclass(frozen=True)
 class CharClass:
-    """A class of candidate strings: the runs of ``chars``, their window and least entropy in bits."""
+    """A class of candidate strings: the runs of ``chars``.
+
+    A window of ``window`` characters is hot if it has at least ``bits`` bits of
+    entropy and ``turns`` turns. A turn is where a letter and a digit, or two
+    cases, stand side by side: random keys turn all the time, words, paths and
+    numbered names hardly ever. For classes without digits (``cased``) it is a
+    capital behind a small letter that does not start a word (two small letters
+    follow then), or a small letter between two capitals.
+    """
 
     name: str
     chars: str
     window: int
     bits: float
-
-
-#: Random hex has about 3.5 bits in 20 characters, random base64 about 4.3 in 24;
-#: words of natural languages stay below 3.9 there and hold no digits.
-CLASSES = (CharClass("hex", "0-9a-fA-F", 20, 3.0), CharClass("base64", "A-Za-z0-9+/_-", 24, 4.0))
+    turns: int
+    cased: bool = False
+
+
+#: Limits that random keys of these shapes pass with a probability of 0.95 and more in their best window.
+CLASSES = (
+    CharClass("hex", "0-9a-fA-F", 16, 2.6, 3),
+    CharClass("lower", "0-9a-z", 20, 3.4, 4),
+    CharClass("upper", "0-9A-Z", 20, 3.3, 3),
+    CharClass("letters", "A-Za-z", 20, 3.6, 4, cased=True),
+    CharClass("base64", "A-Za-z0-9+/_-", 20, 3.7, 6),
+)
 #: Whole candidates that are no secrets.
 ALLOW = tuple(re.compile(p) for p in (
     r"[0-9]+",
@@ -59,13 +77,27 @@ _PART = re.compile("[A-Za-z0-9]+")
 _LOG = [0.0, 0.0, *(c * math.log2(c) for c in range(2, 513))]
 
 
-def hot_stretches(run: str, window: int, bits: float) -> list[tuple[int, int]]:
-    """Unions of the windows of ``run`` whose entropy is at least ``bits``."""
+def _turns(run: str, cased: bool) -> list[int]:
+    """Running number of turns: entry i counts those before character i."""
+    kinds = [1 if c.islower() else 2 if c.isupper() else 3 if c.isdigit() else 0 for c in run]
+    if cased:
+        at = [kinds[i - 1:i] == [3 - k] and (kinds[i + 1:i + 2] == [2] if k == 1 else kinds[i + 1:i + 3] != [1, 1]) for i, k in enumerate(kinds)]
+    else:
+        at = [i > 0 and k != kinds[i - 1] and k > 0 and kinds[i - 1] > 0 for i, k in enumerate(kinds)]
+    out = [0]
+    for t in at:
+        out.append(out[-1] + t)
+    return out
+
+
+def hot_stretches(run: str, window: int, bits: float, turns: int = 0, cased: bool = False) -> list[tuple[int, int]]:
+    """Unions of the windows of ``run`` whose entropy is at least ``bits``, and that have ``turns`` turns."""
     if len(run) < window:
         return []
     counts = Counter(run[:window])
     total = sum(_LOG[c] for c in counts.values())
     limit = (math.log2(window) - bits) * window + 1e-9  # entropy >= bits
+    upto = _turns(run, cased) if turns else None
     out: list[list[int]] = []
     for i in range(len(run) - window + 1):
         if i:
@@ -77,7 +109,8 @@ def hot_stretches(run: str, window: int, bits: float) -> list[tuple[int, int]]:
                 c = counts[new]
                 total += _LOG[c + 1] - _LOG[c]
                 counts[new] = c + 1
-        if total <= limit:
+        # a turn lies between two characters of the window, or at a capital of it
+        if total <= limit and (upto is None or upto[i + window] - upto[i if cased else i + 1] >= turns):
             if out and i <= out[-1][1]:
                 out[-1][1] = i + window
             else:
@@ -111,9 +144,12 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
                 run = m.group()
                 if i and _RUNS[0][1].fullmatch(run):
                     continue  # judged as hex
-                if any(a.fullmatch(run) for a in ALLOW) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+                if cls.cased:
+                    if run.islower() or run.isupper() or run[1:].islower():
+                        continue
+                elif any(a.fullmatch(run) for a in ALLOW) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
                     continue
-                found += [(m.start() + a, m.start() + b) for a, b in hot_stretches(run, cls.window, cls.bits)]
+                found += [(m.start() + a, m.start() + b) for a, b in hot_stretches(run, cls.window, cls.bits, cls.turns, cls.cased)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if out and a < out[-1][1]:
