@@ -5,13 +5,22 @@ the same phonetic key and an unrestricted Damerau-Levenshtein distance below 3.
 
 Candidate pairs are found without comparing all pairs of a block. Take two
 words within two edits and drop the edited characters (one per edit and side):
-what is left is the same on both sides. So what is left of their first PREFIX
-characters differs in length only, and dropping the longer one's surplus makes
-them equal, with at most two characters dropped on either side. Every word is
-therefore indexed by its phonetic key and the strings made from its first
-PREFIX characters by dropping up to two: a bounded number of rows, whatever its
-length. The index is self-joined on a hash, and the join itself checks
-lengths and the exact distance, so only true pairs leave it.
+what is left is the same on both sides, with at most two characters dropped on
+either. So every word is indexed by its phonetic key and every string that
+dropping up to two of its characters leaves. The whole word counts, not its
+start alone: words that share a long prefix (or suffix) do not meet unless they
+are near each other.
+
+The index has a row per pair of characters, so words longer than WHOLE are
+indexed by both ends instead: END characters from either side, with up to two
+characters dropped in all. (An edit inside an end costs one dropped character
+on each side; an edit outside leaves it as it is.) That is a bounded number of
+rows whatever the length. Lengths of a pair differ by two at most, so words of the
+two lengths around the limit are in both indexes, and any pair is in one.
+
+The index holds hashes and numbers, no words. The pairs that meet are made
+distinct first; only then are the words joined back and tested, a bounded plain
+distance before the exact one.
 """
 
 from __future__ import annotations
@@ -23,25 +32,42 @@ from relcast.functions.common import as_col
 from relcast.functions.text import phonetic_key, within_edits2
 from relcast.session import materialise, release
 
-#: Characters of a word that are indexed (137 rows a word at most).
-PREFIX = 16
+#: Words up to this length are indexed whole (1,276 rows at most).
+WHOLE = 50
+#: Characters of either end by which longer words are indexed.
+END = 24
 
 
-def _deletions(w: Column) -> Column:
-    return F.when(F.length(w) == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(1), F.length(w)),
-            lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))),
-        )
-    )
+def _dropped(w: Column, n: Column, k: int) -> Column:
+    """The strings that dropping exactly ``k`` (0 to 2) characters of ``w`` (``n`` long) leaves."""
+    none = F.array().cast("array<string>")
+    if k == 0:
+        return F.array(w)
+    without = lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, n))
+    if k == 1:
+        return F.when(n < 1, none).otherwise(F.transform(F.sequence(F.lit(1), n), without))
+    # characters i and j, i < j
+    pair = lambda i, j: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, j - i - 1), F.substring(w, j + 1, n))
+    return F.when(n < 2, none).otherwise(F.flatten(F.transform(
+        F.sequence(F.lit(1), n - 1), lambda i: F.transform(F.sequence(i + 1, n), lambda j: pair(i, j)))))
 
 
 def deletion_variants(c) -> Column:
     """The word and every string made from it by deleting one or two characters."""
     w = as_col(c)
-    one = _deletions(w)
-    two = F.flatten(F.transform(one, lambda v: _deletions(v)))
-    return F.array_distinct(F.concat(F.array(w), one, two))
+    n = F.length(w)
+    return F.array_distinct(F.concat(*[_dropped(w, n, k) for k in range(3)]))
+
+
+def end_variants(c, end: int = END) -> Column:
+    """Both ends of a word, ``end`` characters each, with up to two characters dropped in all."""
+    w = as_col(c)
+    head, tail, n = F.substring(w, 1, end), F.substring(w, -end, end), F.least(F.length(w), F.lit(end))
+
+    def pairs(left: Column, right: Column) -> Column:
+        return F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: F.concat(x, F.lit("\u0000"), y))))
+
+    return F.array_distinct(F.concat(*[pairs(_dropped(head, n, i), _dropped(tail, n, j)) for i in range(3) for j in range(3 - i)]))
 
 
 def vocab(df: DataFrame, word: str, key: str) -> DataFrame:
@@ -49,26 +75,30 @@ def vocab(df: DataFrame, word: str, key: str) -> DataFrame:
     return df.where(F.col(word).isNotNull()).groupBy(F.col(word).alias("word")).agg(F.count(key).alias("n"))
 
 
-def typo_candidates(words: DataFrame, prefix: int = PREFIX) -> DataFrame:
+def typo_candidates(words: DataFrame, whole: int = WHOLE, end: int = END) -> DataFrame:
     """Pairs (a, b) with same phonetic key, distance < 3 and n_a > n_b.
 
-    The joins are sort-merge joins: ``explode`` does not raise the planner's
+    ``whole`` is the length up to which words are indexed whole (at least
+    2 * ``end`` + 2, so that the ends of longer words do not overlap). The joins of
+    the index are sort-merge joins: ``explode`` does not raise the planner's
     size estimate, so it would broadcast an index far larger than it believes.
     """
-    # The vocabulary feeds both sides: written once, so the aggregation is not repeated.
-    keyed = materialise(words.select("word", "n", phonetic_key("word").alias("pkey")), "vocabulary")
-    index = keyed.select("word", "n", "pkey", F.explode(deletion_variants(F.substring("word", 1, prefix))).alias("variant"))
-    index = index.select("word", "n", "pkey", F.xxhash64("pkey", "variant").alias("key"))
+    if whole < 2 * end + 2:
+        raise ValueError("the ends of words that are not indexed whole must not overlap")
+    # The vocabulary feeds every step: written once, so the aggregation is not repeated and its numbers stay.
+    keyed = materialise(words.select("word", "n", phonetic_key("word").alias("pkey")).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
+    length = F.length("word")
+    row = ["id", "n", length.cast("int").alias("len")]
+    short = keyed.where(length <= whole).select(*row, "pkey", F.explode(deletion_variants("word")).alias("variant"), F.lit(0).alias("kind"))
+    long = keyed.where(length >= whole - 1).select(*row, "pkey", F.explode(end_variants("word", end)).alias("variant"), F.lit(1).alias("kind"))
+    index = short.unionAll(long).select("id", "n", "len", F.xxhash64("kind", "pkey", "variant").alias("key"))
     a, b = index.alias("a"), index.alias("b").hint("merge")
-    near = (
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.n") > F.col("b.n"))
-        & F.col("a.pkey").eqNullSafe(F.col("b.pkey"))
-        & (F.abs(F.length("a.word") - F.length("b.word")) <= 2)
-        & within_edits2("a.word", "b.word")
-    )
-    pairs = a.join(b, near).select(F.col("a.word").alias("a"), F.col("b.word").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
-    return pairs.distinct()
+    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.n") > F.col("b.n")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 2)
+    met = a.join(b, meet).select(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).distinct()
+    side = lambda s: keyed.select(F.col("id").alias(f"id_{s}"), F.col("word").alias(s), F.col("n").alias(f"n_{s}"), F.col("pkey").alias(f"pkey_{s}"))
+    pairs = met.join(side("a").hint("merge"), F.col("ia") == F.col("id_a")).join(side("b").hint("merge"), F.col("ib") == F.col("id_b"))
+    near = (F.levenshtein("a", "b", 4) >= 0) & within_edits2("a", "b")
+    return pairs.where(F.col("pkey_a").eqNullSafe(F.col("pkey_b"))).where(near).select("a", "b", "n_a", "n_b")
 
 
 def best_correction(cands: DataFrame) -> DataFrame:

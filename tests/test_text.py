@@ -60,6 +60,22 @@ def test_candidate_search_is_exact_for_short_and_long_words(spark):
     want = {(a, b) for a, b, d in con.execute(
         "SELECT a.word, b.word, damerau_levenshtein(a.word, b.word) FROM v a JOIN v b ON a.n > b.n").fetchall()
         if d < 3 and keys[a] == keys[b]}
-    for prefix in (4, 7, 16):  # words much longer than the indexed prefix, a little longer, shorter
-        got = {(r.a, r.b) for r in typo_candidates(vocab, prefix=prefix).collect()}
-        assert got == want, prefix
+    for whole, end in ((6, 2), (8, 3), (10, 4), (12, 3), (50, 24)):  # words much longer than what is indexed whole, a little longer, shorter
+        got = {(r.a, r.b) for r in typo_candidates(vocab, whole, end).collect()}
+        assert got == want, (whole, end)
+
+
+def test_words_with_a_long_common_prefix_do_not_meet(spark):
+    """10,000 words share 21 characters: a word meets its own typos, not the block."""
+    import hashlib
+    import time
+
+    from relcast.operators.categories import typo_candidates
+
+    stem = lambda i: "certified registered " + hashlib.md5(str(i).encode()).hexdigest()[:12]
+    rows = [(stem(i), 5) for i in range(9000)] + [(stem(i)[:-1], 1) for i in range(500)] + [(stem(i)[:25] + stem(i)[26:], 1) for i in range(500)]
+    vocab = spark.createDataFrame(rows, "word string, n bigint")
+    start = time.time()
+    got = {(r.a, r.b) for r in typo_candidates(vocab).collect()}
+    assert got >= {(stem(i), stem(i)[:-1]) for i in range(500)} | {(stem(i), stem(i)[:25] + stem(i)[26:]) for i in range(500)}
+    assert len(got) < 1100 and time.time() - start < 60
