@@ -69,7 +69,7 @@ def parse_date(c, fmt: str) -> Column:
 CENTURY_PIVOT = 69
 
 
-def _guessed(col: Column, fmt: str) -> Column:
+def guessed_date(col: Column, fmt: str) -> Column:
     """A date in one of several declared formats; two-digit years below the pivot are 20xx, others 19xx."""
     parsed = F.try_to_date(col, fmt)
     if "yy" not in fmt or "yyyy" in fmt:
@@ -84,7 +84,7 @@ def parse_date_any(c, fmts: Sequence[str], strict: bool = False) -> Column:
     accepts, which is what a raising parser does.
     """
     col = F.trim(as_col(c).cast("string"))
-    parsed = F.coalesce(*[_guessed(col, f) if len(fmts) > 1 else F.try_to_date(col, f) for f in fmts])
+    parsed = F.coalesce(*[guessed_date(col, f) if len(fmts) > 1 else F.try_to_date(col, f) for f in fmts])
     if not strict:
         return parsed
     bad = parsed.isNull() & col.isNotNull() & (col != "")

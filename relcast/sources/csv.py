@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relcast.functions.headers import normalise_name, resolve_header
-from relcast.session import hadoop_path
+from relcast.session import hadoop_path, materialise, release
+from relcast.sources.multiline import ASCII_BASED, read_multiline
 
 # The header reader runs in Python workers; ship this module's functions by
 # value so executors need no installed copy of the package.
@@ -116,17 +117,22 @@ def header_groups(files: DataFrame, encoding: str = "UTF-8") -> dict[tuple[str,
         for pdf in batches:
             yield pd.DataFrame({"path": pdf["path"], "header": [one(p) for p in pdf["path"]]})
 
+    spark = files.sparkSession
     found = files.select("path").mapInPandas(heads, "path string, header array<string>")
+    found = materialise(found.select("path", "header", F.xxhash64("header").alias("id")), "headers")
+    headers = {r["id"]: r["header"] for r in found.groupBy("id").agg(F.first("header").alias("header")).collect()}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in found.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
-        if row["header"] is not None:
-            groups.setdefault(tuple(row["header"]), []).extend(row["paths"])
-            continue
-        spark = files.sparkSession
-        with ThreadPoolExecutor(16) as pool:
-            lines = pool.map(lambda p: _first_line_hadoop(spark, p, encoding), row["paths"])
-            for path, header in zip(row["paths"], lines):
-                groups.setdefault(tuple(header), []).append(path)
+    unread = []
+    for row in found.select("path", "id").collect():
+        header = headers[row["id"]]
+        if header is None:
+            unread.append(row["path"])
+        else:
+            groups.setdefault(tuple(header), []).append(row["path"])
+    release(found)
+    with ThreadPoolExecutor(16) as pool:
+        for path, header in zip(unread, pool.map(lambda p: _first_line_hadoop(spark, p, encoding), unread)):
+            groups.setdefault(tuple(header), []).append(path)
     return {h: sorted(paths) for h, paths in sorted(groups.items())}
 
 
@@ -157,6 +163,10 @@ def scan_csv(
 ) -> DataFrame:
     """All-string scan of release files with normalised (and legacy-renamed) names.
 
+    Files with line breaks inside quoted fields (``multi_line``) are read in
+    splits too; only those in an encoding that is not based on ASCII are read
+    one file per task.
+
     ``files`` is a listing DataFrame (with ``path``) or a list of paths. Adds
     ``_file_path`` (the scan's own ``_metadata.file_path``) for provenance.
     """
@@ -166,6 +176,9 @@ def scan_csv(
             continue
         names = resolve_header(list(header), renames) if normalise else list(header)
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        if multi_line and encoding.lower() in ASCII_BASED:
+            parts.append(read_multiline(spark, schema, paths, FILE_PATH, encoding))
+            continue
         df = _read(spark, schema, paths, encoding, multi_line)
         parts.append(df.select(*[F.col(f"`{n}`") for n in names], scan_file_path().alias(FILE_PATH)))
     return _united(parts)
