@@ -70,6 +70,16 @@ def write_named_csv(spark: SparkSession, df: DataFrame, folder: str, name_col: s
     fs.delete(Path(tmp), True)
 
 
+#: Rows of a staged file where nothing asks for one file per name.
+STAGED_ROWS = 50_000
+
+
+def dealt_name(df: DataFrame, stem: Column, *keys: str) -> Column:
+    """``<stem>_<k>.csv``: names are dealt out over a number of files that grows with the rows, so Spark writes and reads them in parallel."""
+    parts = max(1, -(-df.count() // STAGED_ROWS))
+    return F.concat(stem, F.lit("_"), F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string"), F.lit(".csv"))
+
+
 # ---------------------------------------------------------------- orders releases
 
 ORDER_MARKER = "*"
@@ -184,15 +194,37 @@ def orders_csv_single(spark: SparkSession, sf_dir: str) -> str:
             F.col("o_totalprice").cast("string").alias("O TotalPrice"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("O OrderDate"),
             F.col("o_orderpriority").alias("O OrderPriority"),
-            F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string"), F.lit(".csv")).alias("_file"),
+            dealt_name(orders, F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string")), "o_orderkey").alias("_file"),
         )
         write_named_csv(spark, rows, folder, "_file")
 
     return cached(spark, sf_dir, "orders_csv", build)
 
 
+def dated_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders with the same date in several notations, padded codes and blanks (for type inference)."""
+
+    def build(folder: str) -> None:
+        orders = table(spark, sf_dir, "orders")
+        key, day = F.col("o_orderkey"), F.col("o_orderdate")
+        rows = orders.select(
+            key.cast("string").alias("O OrderKey"),
+            F.when(key % 10 != 0, (F.col("o_custkey") / 2).cast("string")).otherwise(F.when(key % 20 == 0, F.lit("NA"))).alias("Half"),
+            F.date_format(day, "yyyy-MM-dd").alias("Iso"),
+            F.date_format(day, "d/M/yyyy").alias("Day First"),
+            F.when(key % 2 == 0, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "M/d/yyyy")).alias("Month First"),
+            F.date_format(day, "M/d/yy").alias("Short"),
+            F.lpad((key % 1000).cast("string"), 6, "0").alias("Code"),
+            F.when(key % 2 == 0, F.lit("True")).otherwise(F.lit("False")).alias("Even"),
+            dealt_name(orders, F.concat(F.lit("dated_"), F.year(day).cast("string")), "o_orderkey").alias("_file"),
+        )
+        write_named_csv(spark, rows, folder, "_file")
+
+    return cached(spark, sf_dir, "dated_orders", build)
+
+
 def conversations_latin1(spark: SparkSession, sf_dir: str) -> str:
-    """Conversations (multi-line accented text) as ISO-8859-1 CSV, one file per role."""
+    """Conversations (multi-line accented text) as ISO-8859-1 CSV, files by role."""
 
     def build(folder: str) -> None:
         conv = table(spark, sf_dir, "conversations")
@@ -201,7 +233,7 @@ def conversations_latin1(spark: SparkSession, sf_dir: str) -> str:
             F.col("turn").cast("string").alias("Turn"),
             F.col("role").alias("Role"),
             F.col("text").alias("Text"),
-            F.concat(F.lit("conv_"), F.col("role"), F.lit(".csv")).alias("_file"),
+            dealt_name(conv, F.concat(F.lit("conv_"), F.col("role")), "conv_id", "turn").alias("_file"),
         )
         write_named_csv(spark, rows, folder, "_file", encoding="ISO-8859-1")
 
@@ -216,7 +248,7 @@ def part_csv(spark: SparkSession, sf_dir: str) -> str:
         part = table(spark, sf_dir, "part")
         rows = part.select(
             *[F.col(c).cast("string").alias(c.upper()) for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")],
-            F.concat(F.lit("part_"), F.col("p_type"), F.lit(".csv")).alias("_file"),
+            dealt_name(part, F.concat(F.lit("part_"), F.col("p_type")), "p_partkey").alias("_file"),
         )
         write_named_csv(spark, rows, folder, "_file")
 

@@ -593,10 +593,29 @@ SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM keyed a JOIN keyed
   ON a.pkey = b.pkey AND a.n > b.n AND damerau_levenshtein(a.word, b.word) < 3
 """)
 def q_typo_candidates_long(spark, sf):
-    """Candidate search on words that are longer than the indexed prefix."""
+    """Candidate search on long words."""
     return typo_candidates(vocab(_long_records(spark, sf), "specialty", "npi"))
 
 
+_STEM_SQL = "'certified registered ' || left(md5(CAST(o_custkey AS VARCHAR)), 10)"
+
+
+@query("typo_candidates_prefix", f"""
+WITH rec AS (SELECT o_orderkey AS npi, CASE WHEN o_orderkey % 19 = 0 THEN left({_STEM_SQL}, 30) WHEN o_orderkey % 19 = 1 THEN {_STEM_SQL} || 'x'
+                    WHEN o_orderkey % 19 = 2 THEN left({_STEM_SQL}, 22) || substr({_STEM_SQL}, 24, 1) || substr({_STEM_SQL}, 23, 1) || substr({_STEM_SQL}, 25) ELSE {_STEM_SQL} END AS specialty FROM orders),
+    keyed AS (SELECT specialty AS word, count(npi) AS n, {soundex_sql('specialty')} AS pkey FROM rec GROUP BY specialty)
+SELECT a.word AS a, b.word AS b, a.n AS n_a, b.n AS n_b FROM keyed a JOIN keyed b
+  ON a.pkey = b.pkey AND a.n > b.n AND levenshtein(a.word, b.word) <= 4 AND damerau_levenshtein(a.word, b.word) < 3
+""")
+def q_typo_candidates_prefix(spark, sf):
+    """Candidate search in a vocabulary whose words all share their first 21 characters."""
+    k = F.col("o_orderkey")
+    stem = F.concat(F.lit("certified registered "), F.left(F.md5(F.col("o_custkey").cast("string").cast("binary")), F.lit(10)))
+    swapped = F.concat(F.substring(stem, 1, 22), F.substring(stem, 24, 1), F.substring(stem, 23, 1), F.substring(stem, 25, 100))
+    word = F.when(k % 19 == 0, F.substring(stem, 1, 30)).when(k % 19 == 1, F.concat(stem, F.lit("x"))).when(k % 19 == 2, swapped).otherwise(stem)
+    return typo_candidates(vocab(t(spark, sf, "orders").select(k.alias("npi"), word.alias("specialty")), "specialty", "npi"))
+
+
 # =========================================================== crosswalk
 
 # Order priorities standing in for the facility-type tables.
@@ -846,3 +865,7 @@ def q_stream_snapshots(spark, sf):
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return _period_agg(read_table(spark, target))
+
+
+# The queries of further operators register themselves.
+from relcast.queries import analysis  # noqa: E402, F401
