@@ -13,6 +13,7 @@ from relcast.operators.snapshots import snapshot_diff
 from relcast.queries import fixtures as fx
 from relcast.queries.registry import PRIORITY_TYPES, query, t
 from relcast.session import scratch_path
+from relcast.sources.catalog import DATASET_EXTRA, extra, extra_fields, flatten_open_catalog, read_open_catalog
 from relcast.sources.csv import FILE_PATH, scan_csv
 from relcast.sources.files import list_releases
 from relcast.sources.infer import NA_VALUES, infer_types, scan_csv_inferred
@@ -198,3 +199,28 @@ def q_csv_scan_inferred(spark, sf):
     """Files per year whose date columns have a format each, elected from their values."""
     folder = fx.dated_orders(spark, sf)
     return scan_csv_inferred(spark, list_releases(spark, folder, ("dated_*.csv",))).drop(FILE_PATH)
+
+
+# =========================================================== catalogue fields outside the schema
+
+@query("catalog_extra", """
+SELECT 'b' || conv_id AS bureau, role AS format, text AS title, conv_id AS identifier, CAST(conv_id AS VARCHAR) AS second_keyword, CASE WHEN conv_id % 3 = 0 THEN 'Name ' || conv_id END AS contact,
+       CASE WHEN conv_id % 3 = 0 THEN conv_id / 4 END AS score, turn, CASE WHEN turn % 2 = 0 THEN strlen(text) END AS bytes
+FROM conversations
+""")
+def q_catalog_extra(spark, sf):
+    flat = flatten_open_catalog(read_open_catalog(spark, fx.open_catalog_json(spark, sf), multi_line=False))
+    return flat.select(
+        F.col("bureauCode").alias("bureau"), "format", "title", extra("identifier", "bigint", DATASET_EXTRA).alias("identifier"), extra("keyword[1]", "string", DATASET_EXTRA).alias("second_keyword"),
+        extra("contactPoint.fn", "string", DATASET_EXTRA).alias("contact"), extra("contactPoint.rating.score", "double", DATASET_EXTRA).alias("score"),
+        extra("turn", "bigint").alias("turn"), extra("byteSize", "bigint").alias("bytes"))
+
+
+@query("catalog_extra_fields", """
+SELECT 'dataset' AS level, 'identifier' AS field, 'BIGINT' AS type, count(*) AS n FROM conversations UNION ALL SELECT 'dataset', 'keyword', 'ARRAY<STRING>', count(*) FROM conversations
+UNION ALL SELECT 'dataset', 'contactPoint', 'OBJECT', count(*) FROM conversations WHERE conv_id % 3 = 0 UNION ALL SELECT 'distribution', 'turn', 'BIGINT', count(*) FROM conversations
+UNION ALL SELECT 'distribution', 'byteSize', 'BIGINT', count(*) FROM conversations WHERE turn % 2 = 0
+""")
+def q_catalog_extra_fields(spark, sf):
+    flat = flatten_open_catalog(read_open_catalog(spark, fx.open_catalog_json(spark, sf), multi_line=False))
+    return extra_fields(flat).withColumn("type", F.regexp_replace("type", "^OBJECT<.*", "OBJECT"))

@@ -396,3 +396,25 @@ def catalog_json(spark: SparkSession, sf_dir: str) -> str:
         doc.write.json(folder)
 
     return cached(spark, sf_dir, "catalog_json", build)
+
+
+def open_catalog_json(spark: SparkSession, sf_dir: str) -> str:
+    """A catalogue document per conversation with fields that no schema declares: numbers, lists and objects, some absent, one of two types."""
+
+    def build(folder: str) -> None:
+        conv = table(spark, sf_dir, "conversations")
+        key = F.col("conv_id")
+        dist = F.struct(
+            F.col("role").alias("format"), F.col("text").alias("title"), F.col("turn").alias("turn"),
+            F.when(F.col("turn") % 2 == 0, F.octet_length("text")).alias("byteSize"),
+        )
+        ds = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(dist)).alias("distribution"))
+        doc = ds.select(F.struct(
+            F.concat(F.lit("b"), key.cast("string")).alias("bureauCode"), key.alias("identifier"),
+            F.array(F.lit("k"), key.cast("string")).alias("keyword"),
+            F.when(key % 3 == 0, F.struct(F.concat(F.lit("Name "), key.cast("string")).alias("fn"), F.struct((key / 4).alias("score")).alias("rating"))).alias("contactPoint"),
+            F.col("distribution"),
+        ).alias("d")).select(F.array("d").alias("dataset"))
+        doc.write.json(folder)
+
+    return cached(spark, sf_dir, "open_catalog_json", build)
