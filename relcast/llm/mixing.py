@@ -11,7 +11,11 @@ like size and the words taken stay near the target.
 
 What sources with few documents then still miss is made up by a few repairs:
 in each, one document of a source goes from the copies below its rate to those
-above or back, that whose size is nearest to what is missing.
+above or back, that whose size is nearest to what is missing. The rounding keeps
+every document's expected number of copies; the repairs do not, but they move
+REPAIRS documents of a source at most, by one copy each. In a source of hundreds
+of documents that bias is under one in a hundred; in one of a few documents it
+is the price for the words that they take.
 """
 
 from __future__ import annotations

@@ -65,6 +65,73 @@ def test_bands_reject_repetition_and_noise():
     assert judge(b"") is None and judge(b"short") is None
 
 
+def plain_verdict(text, bands):
+    """Whole text and chunks against the limits, spelled out."""
+    import zstandard
+
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    ratio = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False).compress(b)) / len(b)
+
+    def side(b):
+        fit = [x for x in bands.bands if len(b) >= x.bytes]
+        if not b or not fit:
+            return 0
+        r = ratio(b)
+        return -1 if r < fit[-1].low else 1 if r > fit[-1].high else 0
+
+    if side(raw):
+        return "repetitive" if side(raw) < 0 else "incompressible"
+    chunks = [raw[i:i + 4096] for i in range(0, len(raw), 4096)] if len(raw) > 4096 else []
+    return "chunks" if 2 * sum(len(c) for c in chunks if side(c)) > len(raw) else None
+
+
+def test_verdicts_match_plain_ones_over_the_table(spark):
+    """All documents of the smallest table; the bands reject some that the base rule lets through."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 3 = 0")
+    want = {r.doc_id: plain_verdict(r.text, quality.BANDS) for r in docs.collect()}
+    rows = quality.op2_query(docs).collect()
+    assert {r.doc_id: r.reason for r in rows} == want
+    assert all(r.kept == (not r.base_failed and r.reason is None) for r in rows)
+    assert any(not r.base_failed and not r.kept for r in rows) and sum(r.kept for r in rows) > 0.7 * len(rows)
+
+
+def planted():
+    """Texts that the base rule accepts: lists by a template, base64 and hex in lines, noise, and plain prose."""
+    import base64
+    import random
+
+    rng = random.Random(7)
+    stems = "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu ma me mi mo mu na ne ni no nu ra re ri ro ru sa se si so su ta te ti to tu".split()
+    lexicon = ["".join(rng.choice(stems) for _ in range(rng.randint(1, 4))) for _ in range(4000)]
+    prose = " ".join(rng.choice(lexicon) for _ in range(900))
+    template = "\n".join(f"Record {i}: value {rng.randint(1000, 99999)} of {rng.randint(1000, 99999)} units" for i in range(150))
+    coded = base64.b64encode(rng.randbytes(6000)).decode()
+    hexed = rng.randbytes(4000).hex()
+    noise = "".join(chr(rng.randint(33, 126)) for _ in range(6000))
+    lines = lambda x: "\n".join(x[i:i + 60] for i in range(0, len(x), 60))
+    return {"prose": prose, "template": template, "base64": lines(coded), "hex": lines(hexed), "noise": lines(noise)}
+
+
+def test_bands_reject_what_the_base_rule_misses(spark):
+    texts = planted()
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    rows = {name: r for name, r in zip(texts, quality.op2_query(docs).orderBy("doc_id").collect())}
+    assert not any(r.base_failed for r in rows.values())
+    assert {n: r.reason for n, r in rows.items()} == {"prose": None, "template": "repetitive", "base64": "incompressible", "hex": "incompressible", "noise": "incompressible"}
+
+
+def test_limits_can_be_fitted(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    bands = quality.fitted(docs, labels)
+    assert len(bands.bands) > 8 and all(b.low < b.high for b in bands.bands)
+    assert [b.bytes for b in bands.bands] == sorted(b.bytes for b in bands.bands)
+    for b in bands.bands:  # the production limits are these, made smooth
+        mine = [x for x in quality.BANDS.bands if x.bytes <= b.bytes][-1]
+        assert abs(mine.low - b.low) < 0.03 and mine.high > b.high - 0.03
+    assert quality.fitted(docs.where("false"), labels).bands == ()
+
+
 def test_every_kept_row_has_its_columns(edge_docs, no_docs):
     kept = quality.keep_documents(edge_docs)
     assert kept.columns == edge_docs.columns
@@ -123,6 +190,39 @@ def test_entropy_spans_and_allow_list():
         assert not [s for s in secrets.find(text) if s[0] == "entropy"]
 
 
+SHAPES = {
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "lower and digits": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "upper and digits": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "upper hex": "0123456789ABCDEF",
+    "letters of both cases": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("length", [24, 32, 40])
+def test_recall_of_random_keys(shape, length):
+    import random
+
+    rng = random.Random(hash((len(shape), length)))
+    keys = ["".join(rng.choice(SHAPES[shape]) for _ in range(length)) for _ in range(600)]
+    found = sum(any(s[0] == "entropy" for s in secrets.find(f"use {k} now")) for k in keys)
+    assert found >= 0.88 * len(keys)
+
+
+def test_short_keys_of_hex_and_base64():
+    import random
+
+    rng = random.Random(3)
+    for shape, length in (("upper hex", 16), ("base64", 20), ("lower and digits", 20)):
+        keys = ["".join(rng.choice(SHAPES[shape]) for _ in range(length)) for _ in range(600)]
+        assert sum(any(s[0] == "entropy" for s in secrets.find(f"use {k} now")) for k in keys) >= 0.9 * len(keys)
+
+
+@pytest.mark.parametrize("text", ["docs/2024/annual-report-v2/final/page3", "my-file-name-2024-01-15-final-v3", "/usr/local/lib/python3/site-packages/numpy1", "XMLHTTPRequestFactoryBeanImplementation",
+                                  "Donaudampfschifffahrtsgesellschaft", "VERSIONRELEASEBUILDNUMBERTWENTY", "getUserAccountDetailsForCurrentSession"])
+def test_names_and_paths_are_no_keys(text):
+    assert not [s for s in secrets.find(f"see {text} there") if s[0] == "entropy"]
+
+
 @pytest.mark.parametrize("prefix", ["/", "ID_", "key-", "v1/keys/", "a+", "0x", "sk_live_", ""])
 def test_hex_keys_inside_wider_runs(prefix):
     key = "9F86D081884C7D659A2FEAA0C55AD015"
