@@ -216,7 +216,8 @@ def test_phrases_match_plain_counts(edge_docs, no_docs, rows_of, monkeypatch, sh
     """Also with slices of a few words and buffers of three groups."""
     monkeypatch.setattr(phrases, "SLICE", size)
     monkeypatch.setattr(phrases, "BUFFER", 500 if groups == 3 else 1 << 22)
-    monkeypatch.setattr(phrases, "_few_groups", phrases._few_groups if groups == 256 else lambda batches: ((b.slice(i, 1), [(b.column(0)[i].as_py(), b.column(1)[i].as_py())]) for b in batches for i in range(b.num_rows)))
+    if groups == 3:
+        monkeypatch.setattr(phrases, "_few_groups", lambda batches: ((b.slice(i, 1), [tuple(b.column(k)[i].as_py() for k in range(3))]) for b in batches for i in range(b.num_rows)))
     want = plain_phrases(rows_of(edge_docs), 4, top=60)
     assert got_phrases(phrases.collocations(edge_docs, support=4, top=60, shards=shards)) == want and len(want) == 60
     assert phrases.op13_query(no_docs).count() == 0
@@ -270,8 +271,9 @@ def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
 def test_bitmap_holds_its_hashes(spark):
     import numpy as np
 
-    values = np.random.default_rng(0).integers(-2**63, 2**63, 5000)
-    bits = phrases.bitmap(spark.createDataFrame([(int(v),) for v in values], "hash long"))
-    assert phrases.in_bitmap(bits, values.view(np.uint64)).all()
-    others = np.random.default_rng(1).integers(-2**63, 2**63, 5000).view(np.uint64)
+    values = np.random.default_rng(0).integers(0, 2**64, 5000, dtype=np.uint64)
+    keys = [int(v) >> 64 - phrases.HASH_BITS << phrases.SHARD_BITS | i % 8 for i, v in enumerate(values)]
+    bits = phrases.bitmap(spark.createDataFrame([(k,) for k in keys], "key long"))
+    assert phrases.in_bitmap(bits, values).all()
+    others = np.random.default_rng(1).integers(0, 2**64, 5000, dtype=np.uint64)
     assert phrases.in_bitmap(bits, others).mean() < 0.01
