@@ -245,35 +245,63 @@ def _compare_blocks(rows):
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+#: What it costs to bring a document to a comparison, in comparisons.
+CARRY = 16
+
+
+def _units(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is to be compared, unit by unit: (kind, unit, id, n, label), and per unit its blocks, main label and number of comparisons.
+
+    ``labelled`` has the members of all buckets and their components so far
+    (key, id, n, centre, label). In a unit, every document outside the most
+    common component is compared with all documents of other components. Open
+    buckets that share members form a group, and a unit is either such a group
+    (kind 0) or one of its buckets (kind 1): whichever way takes less for the
+    whole group. Where nearly all members are in one component already, the
+    group is compared once; where a long chain of documents drifts apart,
+    bucket by bucket, as only members of one bucket are candidates.
+    """
+    several = labelled.groupBy(F.col("key").alias("k")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") != F.col("hi"))
+    open_ = written(labelled.join(several, F.col("key") == F.col("k"), "left_semi"), "minhash-open")
+    groups = connected_components(open_.select("id", "centre"), "id", "centre").select("node", F.col("component").alias("grp"))
+    members = written(open_.join(groups, F.col("id") == F.col("node")).select("grp", "key", "id", "n", "label"), "minhash-groups")
+    blocks = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1))
+
+    def stats(rows: DataFrame, unit: str) -> DataFrame:
+        counts = rows.groupBy("grp", unit, "label").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+        top = counts.groupBy("grp", F.col(unit).alias("unit")).agg(F.max(F.struct("m", "label", "s")).alias("top"), F.sum("m").alias("m"), F.sum("s").alias("s"))
+        minor = F.col("m") - F.col("top.m")
+        return top.select("grp", "unit", F.col("top.label").alias("main"), blocks(F.col("m"), F.col("s")).alias("all_blocks"), blocks(minor, F.col("s") - F.col("top.s")).alias("minor_blocks"),
+                          (minor * F.col("m")).alias("comparisons"), (minor * F.col("m") + CARRY * F.col("m")).alias("cost"))
+
+    distinct = members.withColumn("unit", F.col("grp")).select("grp", "unit", "id", "n", "label").distinct()
+    whole, single = written(stats(distinct, "unit"), "minhash-by-group"), written(stats(members, "key"), "minhash-by-bucket")
+    cheaper = whole.select(F.col("grp").alias("g"), "cost").join(single.groupBy(F.col("grp").alias("h")).agg(F.sum("cost").alias("apart")), F.col("g") == F.col("h"))
+    cheaper = written(cheaper.select("g", (F.col("apart") < F.col("cost")).cast("int").alias("kind")), "minhash-ways")
+    chosen = lambda rows, kind: rows.join(cheaper.where(F.col("kind") == kind), F.col("grp") == F.col("g"), "left_semi").withColumn("kind", F.lit(kind))
+    parts = chosen(distinct, 0).unionByName(chosen(members.select("grp", F.col("key").alias("unit"), "id", "n", "label"), 1))
+    return parts.drop("grp"), written(chosen(whole, 0).unionByName(chosen(single, 1)).drop("grp", "cost"), "minhash-stats")
+
+
 def _between_components(joined: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     """Links among the members of buckets that ``links`` leave in several components.
 
-    Open buckets that share members form a group. In each group, every
-    document outside the most common component is compared with all documents
-    of other components, block by block, inside the tasks; no pair becomes a row.
+    The units of :func:`_units` are compared block by block, inside the tasks;
+    no pair becomes a row.
     """
     label = F.coalesce("component", "id").alias("label")
     labelled = written(joined.join(connected_components(links), F.col("id") == F.col("node"), "left").select("key", "id", "n", "centre", label), "minhash-labels")
-    several = labelled.groupBy(F.col("key").alias("k")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") != F.col("hi"))
-    open_ = written(labelled.join(several, F.col("key") == F.col("k"), "left_semi"), "minhash-open")
-    groups = connected_components(open_.select("id", "centre"), "id", "centre")
-    members = open_.select("id", "n", "label").distinct().join(groups, F.col("id") == F.col("node")).select("id", "n", "label", F.col("component").alias("grp"))
-    members = written(members, "minhash-groups")
-    counts = members.groupBy("grp", "label").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-    blocks = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1))
-    stats = counts.groupBy(F.col("grp").alias("g")).agg(
-        F.max_by("label", F.struct("m", "label")).alias("main"), F.max(F.struct("m", "label", "s")).alias("top"), F.sum("m").alias("m"), F.sum("s").alias("s"))
-    stats = written(stats.select("g", "main", blocks(F.col("m"), F.col("s")).alias("all_blocks"),
-                                 blocks(F.col("m") - F.col("top.m"), F.col("s") - F.col("top.s")).alias("minor_blocks")), "minhash-stats")
-    placed = members.join(stats, F.col("grp") == F.col("g")).withColumn("minor", F.col("label") != F.col("main"))
+    members, stats = _units(labelled)
+    stats = stats.select(F.col("kind").alias("k"), F.col("unit").alias("u"), "main", "all_blocks", "minor_blocks")
+    placed = members.join(stats, (F.col("kind") == F.col("k")) & (F.col("unit") == F.col("u"))).withColumn("minor", F.col("label") != F.col("main"))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    keep = ["grp", "id", "n", "label", "minor"]
+    keep = ["kind", "unit", "id", "n", "label", "minor"]
     sides = (placed.where("minor").select(*keep, F.lit(0).alias("side"), own("minor_blocks").alias("bi"), upto("all_blocks").alias("bj"))
              .unionAll(placed.select(*keep, F.lit(1).alias("side"), own("all_blocks").alias("bj"), upto("minor_blocks").alias("bi"))
                        .select(*keep, "side", "bi", "bj")))
     full = sides.join(sets.select(F.col("id").alias("i"), "shingles"), F.col("id") == F.col("i")).drop("i")
-    return full.groupBy("grp", "bi", "bj").applyInPandas(_compare_side, "a long, b long")
+    return full.groupBy("kind", "unit", "bi", "bj").applyInPandas(_compare_side, "a long, b long")
 
 
 def _compare_side(rows):

@@ -81,6 +81,40 @@ def test_blocks_of_open_groups(spark, rows_of, monkeypatch):
     test_near_duplicates_around_the_threshold(spark, rows_of)
 
 
+def drifting(spark, n):
+    """A template of which some words change from document to document: neighbours share buckets and are hardly linked, far ones are strangers."""
+    rng = np.random.default_rng(8)
+    words, docs = [f"w{i}" for i in range(80)], []
+    for i in range(n):
+        for at in rng.choice(80, 4 + i % 2, replace=False):
+            words[at] = f"v{i}x{at}"
+        docs.append((i, " ".join(words)))
+    return spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+
+
+def test_drifting_groups_are_compared_bucket_by_bucket(spark, monkeypatch):
+    """Comparisons grow as the pairs inside buckets do, not with the square of the chain."""
+    seen, units = [], minhash._units
+
+    def watched(labelled):
+        members, stats = units(labelled)
+        rows = stats.collect()
+        seen.append((sum(r.comparisons for r in rows), {r.kind for r in rows}))
+        return members, stats
+
+    monkeypatch.setattr(minhash, "_units", watched)
+    monkeypatch.setattr(minhash, "CARRY", 0)  # by comparisons alone
+    for n in (300, 600):
+        minhash.components(drifting(spark, n), size=2).count()
+    assert 1 in seen[1][1] and seen[1][0] < 2.6 * seen[0][0] and seen[1][0] < 600 * 30
+
+
+def test_both_ways_of_comparing_groups_agree(spark, rows_of, monkeypatch):
+    for carry in (0, 10**9):  # always bucket by bucket, never
+        monkeypatch.setattr(minhash, "CARRY", carry)
+        check_near(drifting(spark, 120), rows_of)
+
+
 def test_short_texts(spark, rows_of):
     texts = ["a b c d e", "a b c d e f", "a b c d", "a", "A", "a a", "a a a", "", "b a", "x y z w v", "x y z w v u"]
     check_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rows_of)
