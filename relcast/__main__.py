@@ -5,6 +5,7 @@
     python -m relcast crosswalk TABLE_ROOT [--remapped]  # npi ↔ CCN crosswalk from the facility tables
     python -m relcast catalog CATALOG_JSON TABLE_ROOT    # flatten the release catalogue
     python -m relcast downloads CATALOG_JSON SRC_ROOT    # folder, file name and URL of the files still to fetch
+    python -m relcast infer FOLDER [GLOB ...]            # column types and date formats of the files of a feed without a spec
     python -m relcast stream FEED SRC_ROOT TABLE_ROOT    # incremental ingest as a stream (availableNow)
 
 The master and every other setting come from spark-submit / the cluster's
@@ -47,6 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     d = sub.add_parser("downloads")
     d.add_argument("catalog_json")
     d.add_argument("src_root")
+    i = sub.add_parser("infer")
+    i.add_argument("folder")
+    i.add_argument("globs", nargs="*", default=["*"])
+    i.add_argument("--encoding", default="UTF-8")
+    i.add_argument("--multi-line", action="store_true")
     s = sub.add_parser("stream")
     s.add_argument("--checkpoint")
     s.add_argument("feed")
@@ -77,6 +83,16 @@ def main(argv: list[str] | None = None) -> int:
         plan = run_release_selection(spark, flatten_catalog(read_catalog(spark, args.catalog_json)), args.src_root)
         for row in plan.orderBy("folder", "file_name").toLocalIterator():
             print(f"{row['folder']}\t{row['file_name']}\t{row['downloadURL']}")
+    elif args.cmd == "infer":
+        from relcast.sources.csv import FILE_PATH, scan_csv
+        from relcast.sources.files import list_releases
+        from relcast.sources.infer import infer_types
+
+        raw = scan_csv(spark, list_releases(spark, args.folder, args.globs), encoding=args.encoding, multi_line=args.multi_line).drop(FILE_PATH)
+        found = {r["column"]: r for r in infer_types(raw).collect()}
+        for column in raw.columns:
+            r = found.get(column)
+            print(f"{column}\t{r and r['type'] or '-'}\t{r and (r['format'] or ' or '.join(r['rivals'])) or '-'}\t{r['n_values'] if r else 0}")
     elif args.cmd == "stream":
         from relcast.streaming.file_ingest import stream_ingest
 

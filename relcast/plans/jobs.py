@@ -24,8 +24,9 @@ from relcast.operators.typed import apply_types
 from relcast.plans.docs import document, register_table
 from relcast.plans.load import append_snapshots, replace_periods, write_full
 from relcast.session import materialise
-from relcast.sources.csv import scan_csv
+from relcast.sources.csv import FILE_PATH, scan_csv
 from relcast.sources.files import list_releases, read_table, table_exists
+from relcast.sources.infer import NA_VALUES, elected, infer_types, typed_as
 from relcast.spec import TableSpec
 
 
@@ -100,6 +101,33 @@ def ingest_reference(spark: SparkSession, spec: TableSpec, folder: str, target:
     return read_table(spark, target)
 
 
+def inferred_types(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
+    """S3/T9 as a tool: (column, type, format, rivals, n_values) over all files of a feed, to write a spec from."""
+    return infer_types(_inferable(spark, spec, folder)[0].drop(FILE_PATH), na_values=(*NA_VALUES, *spec.markers))
+
+
+def _inferable(spark: SparkSession, spec: TableSpec, folder: str) -> tuple[DataFrame, dict]:
+    raw = scan_csv(spark, discover(spark, spec, folder), spec.renames, spec.encoding, spec.multi_line)
+    for column, marker in spec.malformed.items():
+        if column in raw.columns:
+            raw = drop_marked_rows(raw, column, marker)
+    declared = {c: (kind, None) for c, kind in spec.types.items() if kind != "date"}
+    return raw, declared | {c: ("date", formats[0]) for c, formats in spec.date_formats.items()}
+
+
+def ingest_inferred(spark: SparkSession, spec: TableSpec, folder: str, target: str) -> DataFrame:
+    """A feed without declared types: all files, the types that hold all of their values, whole table replaced.
+
+    Types and date formats that the spec declares are kept. Fails on a date
+    column whose values fit several formats; declare its format then.
+    """
+    raw, declared = _inferable(spark, spec, folder)
+    na_values = (*NA_VALUES, *spec.markers)
+    types = elected(infer_types(raw.drop(FILE_PATH), na_values=na_values), {c: t for c, t in declared.items() if c in raw.columns})
+    write_full(with_provenance(typed_as(raw, types, na_values), spec.file_date, spec.source_name), target)
+    return read_table(spark, target)
+
+
 def ingest_categories(spark: SparkSession, spec: TableSpec, folder: str, target: str, word: str = "specialty",
                       key: str = "npi", order: Sequence[str] = ("last_updated", "optout_end_date")) -> DataFrame:
     """C3 end to end: all monthly files, latest row per key, corrected categories, whole table replaced."""

@@ -156,3 +156,31 @@ def test_inference_is_one_pass(spark):
     plan = infer.infer_types(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
     assert infer.infer_types(df.where("false")).count() == 0
+
+
+def test_a_feed_without_declared_types(spark, tmp_path):
+    from relcast.plans.jobs import inferred_types, ingest_inferred
+    from relcast.spec import TableSpec
+
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "x_2023.csv").write_text("Code,Rate,Since,Until\n01,1.5,1/31/2020,1/2/2020\n02,*,2/1/2020,3/4/2020\n")
+    (tmp_path / "src" / "x_2024.csv").write_text("Code,Rate,Since,Seats\n03,7,12/1/2021,12\n")
+    spec = TableSpec(name="x", globs=("x_*.csv",), file_date="last4_year", markers=("*",))
+    assert {r["column"]: r["type"] for r in inferred_types(spark, spec, str(tmp_path / "src")).collect()} == {"code": "string", "rate": "double", "since": "date", "until": "date", "seats": "int"}
+    with pytest.raises(infer.AmbiguousDates, match="until"):
+        ingest_inferred(spark, spec, str(tmp_path / "src"), str(tmp_path / "t"))
+    spec = TableSpec(name="x", globs=("x_*.csv",), file_date="last4_year", markers=("*",), date_formats={"until": ("d/M/yyyy",)}, types={"seats": "bigint"})
+    table = ingest_inferred(spark, spec, str(tmp_path / "src"), str(tmp_path / "t"))
+    assert dict(table.dtypes) == {"code": "string", "rate": "double", "since": "date", "until": "date", "seats": "bigint", "_input_file_date": "date"}
+    got = {(r.code, r.rate, r.since, r.until, r.seats, r._input_file_date.year) for r in table.collect()}
+    d = dt.date
+    assert got == {("01", 1.5, d(2020, 1, 31), d(2020, 2, 1), None, 2023), ("02", None, d(2020, 2, 1), d(2020, 4, 3), None, 2023), ("03", 7.0, d(2021, 12, 1), None, 12, 2024)}
+
+
+def test_cli_infers_types(tmp_path, capsys, spark):
+    from relcast.__main__ import main
+
+    (tmp_path / "a.csv").write_text("Id,Day,None\n1,1/2/2020,\n2,31/1/2020,\n")
+    assert main(["infer", str(tmp_path), "*.csv"]) == 0
+    lines = [line.split("\t") for line in capsys.readouterr().out.splitlines() if "\t" in line]
+    assert lines == [["id", "int", "-", "2"], ["day", "date", "d/M/yyyy", "2"], ["none", "-", "-", "0"]]
