@@ -69,16 +69,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written with a unique number per row, and the column that holds it.
-
-    Decisions on rows are joined back by that number, so that rows which agree
-    in an id, a text or all columns stay rows of their own.
-    """
-    row = free_name(df, "row")
-    return written(df.withColumn(row, F.monotonically_increasing_id()), name), row
-
-
 def ascii_lower(col) -> F.Column:
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

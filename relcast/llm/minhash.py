@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.llm.common import bound_batches, connected_components, free_name, map_batches, numbered, written
+from relcast.llm.common import bound_batches, connected_components, free_name, map_batches, written
 from relcast.session import release
 
 UNIVERSE_BITS = 22
@@ -327,6 +327,7 @@ def _labelled(docs: DataFrame, banding: Banding, size: int, row: str | None = No
     shared = written(shared.select("k", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n")), "minhash-buckets")
     joined = written(keyed.join(shared, F.col("key") == F.col("k")).drop("k"), "minhash-members")
     wanted = classes.join(joined.select(F.col("id").alias("i")).distinct(), F.col("id") == F.col("i"), "left_semi")
+    wanted = written(wanted.select("id", "digest", "least"), "minhash-wanted")  # without the bands, so that the planner knows its size
     sets = written(_sets(docs, wanted, size), "minhash-sets")
 
     # every member against the centre of its buckets
@@ -366,19 +367,33 @@ def components(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE)
 def keep_documents(docs: DataFrame, banding: Banding = BANDING, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component, all columns as they were.
 
-    The row with the smallest doc_id stays; of rows that repeat this id, linked
-    with each other or equal, the first read. Rows with a null doc_id, a null
-    text or a text without words are linked with nothing and stay. No text is
-    lost: every row that goes has a linked row that stays, or one it reaches
-    over links. Columns may have any names. An empty table stays empty.
+    The row with the smallest doc_id stays; where this id stands on several
+    linked texts, that with the smallest hash, and of rows that agree in id and
+    text, any one. Rows with a null doc_id, a null text or a text without words
+    are linked with nothing and stay. No text is lost: every row that goes has
+    a row that stays among those it reaches over links. Columns may have any
+    names. An empty table stays empty.
+
+    Decisions are joined back by id and hash of the text, so texts are not
+    copied or shuffled for it.
     """
-    held, row = numbered(docs, "minhash-docs")
-    rows = written(_labelled(held, banding, size, row).where(F.col("component").isNotNull()).select("row", "doc_id", "component"), "minhash-rows")
-    stay = rows.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("r"))
-    number = free_name(held, "gone")
-    gone = written(rows.join(stay, F.col("row") == F.col("r"), "left_anti").select(F.col("row").alias(number)), "minhash-gone")
+    th = free_name(docs, "th")
+    held = docs.withColumn(th, F.xxhash64("text"))
+    rows = _labelled(held, banding, size, th).where(F.col("component").isNotNull())
+    rows = written(rows.groupBy("component", "doc_id", "row").agg(F.count("*").alias("m")), "minhash-rows")
+    stay = rows.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r"))
+    mine = (F.col("doc_id") == F.col("i")) & (F.col("row") == F.col("r"))
+    number, text = free_name(held, "gone"), free_name(held, "gone_th")
+    named = lambda x: x.select(F.col("doc_id").alias(number), F.col("row").alias(text))
+    gone = written(named(rows.join(stay, mine, "left_anti")), "minhash-gone")
+    # one row of those that agree with the row that stays in id and text
+    twice = written(named(rows.where("m > 1").join(stay, mine, "left_semi")), "minhash-twice")
     release(rows)
-    return held.join(gone, F.col(row) == F.col(number), "left_anti").drop(row)
+    same = (F.col("doc_id") == F.col(number)) & (F.col(th) == F.col(text))
+    kept = held.join(gone, same, "left_anti")
+    if not twice.isEmpty():
+        kept = kept.join(twice, same, "left_anti").unionByName(held.join(twice, same, "left_semi").dropDuplicates(["doc_id", th]))
+    return kept.drop(th)
 
 
 def op6_query(docs: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relcast.llm.common import WORD_RE, free_name, numbered, written
+from relcast.llm.common import WORD_RE, free_name, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -40,9 +40,9 @@ _EPS = 1e-9
 
 
 def sized(docs: DataFrame, key: str | None = None) -> DataFrame:
-    """(row, doc_id, source, size, text_hash): size is the number of words, 0 for null texts."""
+    """(row, key, doc_id, source, size, text_hash): size is the number of words, 0 for null texts; ``row`` numbers the rows."""
     return docs.select(
-        (F.monotonically_increasing_id() if key is None else F.col(key)).alias("row"),
+        F.monotonically_increasing_id().alias("row"), (F.lit(None).cast("long") if key is None else F.col(key)).alias("key"),
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD_RE)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64("text").alias("text_hash"),
@@ -130,13 +130,13 @@ def _rounder(seed: int, last: bool):
 
 
 #: Ids travel as text: pandas would turn a column with nulls into floats.
-_STATE = "row long, doc_id string, source string, text_hash long, size long, whole int, mass double, block long"
+_STATE = "row long, key string, doc_id string, source string, text_hash long, size long, whole int, mass double, block long"
 
 
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES, seed: int = 17, key: str | None = None) -> DataFrame:
-    """One row per input row: row, doc_id, source, text_hash, size, source_size, target, copies, taken.
+    """One row per input row: key, doc_id, source, text_hash, size, source_size, target, copies, taken.
 
-    ``row`` is the number in the column ``key`` of a row, or one given here.
+    ``key`` is what stands in the column of that name, null if none is named.
 
     Reruns agree: chance comes from hashes of the ids. Null texts and texts
     without words have size 0 and take part like others; a source without
@@ -151,7 +151,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     whole = F.when(F.abs(rate - near) < _EPS, near).otherwise(F.floor(rate))
     goal = goals.select(F.col("source").alias("s"), rate.alias("rate"), whole.cast("int").alias("whole"), blocks.alias("blocks"))
     state = (sizes.join(goal, F.col("source").eqNullSafe(F.col("s")))
-             .select("row", F.col("doc_id").cast("string").alias("doc_id"), "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
+             .select("row", F.col("key").cast("string").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "source", "text_hash", "size", "whole", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)).alias("mass"),
                      F.pmod(F.xxhash64("doc_id", "text_hash"), F.col("blocks")).alias("block")))
     levels = max(1, 1 + math.ceil(math.log(max(1, goals.agg(F.max(blocks)).first()[0] or 1), FAN_IN)))
     settled = []
@@ -165,12 +165,12 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     for more in settled[1:]:
         rows = rows.unionAll(more)
     goal = goals.select(F.col("source").alias("s"), "source_size", "target", (F.abs(rate - near) >= _EPS).alias("open"))
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = rows.withColumns({"doc_id": F.col("doc_id").cast("long"), "key": F.col("key").cast("long")})
     rows = rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", F.col("whole") + F.col("mass").cast("int"))
-    rows = rows.select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "open", "whole", "copies")
+    rows = rows.select("row", "key", "doc_id", "source", "text_hash", "size", "source_size", "target", "open", "whole", "copies")
     for _ in range(REPAIRS):
         rows = _repaired(rows)
-    return rows.select("row", "doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return rows.select("key", "doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def _repaired(rows: DataFrame) -> DataFrame:
@@ -189,16 +189,26 @@ def _repaired(rows: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it (0 to 2 times).
 
-    Rows are drawn one by one: rows that agree in doc_id and text, in one
-    source or in several, have copies of their own. Null texts, ids and sources
-    are treated as in :func:`copies`. Columns may have any names and are
+    Rows are drawn one by one: rows that agree in doc_id and text but not in
+    another column, as the source, have copies of their own. Rows that agree in
+    all columns cannot be told apart; together they are repeated as often as
+    they were drawn. Null texts, ids and sources are treated as in
+    :func:`copies`. Columns may have any names (maps are not compared) and are
     returned as they were. An empty table stays empty.
+
+    Draws are joined back by id and hash of the row, so nothing is copied; the
+    table of draws has a row per document and is shuffled at any size.
     """
-    held, row = numbered(docs, "mix-docs")
-    number, times = free_name(held, "drawn"), free_name(held, "times")
-    drawn = copies(held, key=row, **options).where(F.col("copies") > 0).select(F.col("row").alias(number), F.col("copies").alias(times))
-    drawn = written(drawn, "mix-drawn")
-    kept = held.join(drawn, F.col(row) == F.col(number))
+    row = free_name(docs, "row")
+    held = docs.withColumn(row, F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, T.MapType)]))
+    number, key, times = free_name(held, "drawn"), free_name(held, "drawn_row"), free_name(held, "times")
+    drawn = copies(held, key=row, **options).groupBy(F.col("doc_id").alias(number), F.col("key").alias(key)).agg(F.sum("copies").cast("int").alias(times), F.count("*").alias("m"))
+    drawn = written(drawn.where(F.col(times) > 0), "mix-drawn")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(number)) & (F.col(row) == F.col(key))
+    pick = lambda rows, which: rows.join(drawn.where(which).drop("m").hint("merge"), same)
+    kept = pick(held, F.col("m") == 1)
+    if not drawn.where("m > 1").isEmpty():
+        kept = kept.unionByName(pick(held, F.col("m") > 1).dropDuplicates(["doc_id", row]))
     return kept.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -125,7 +125,7 @@ def repeated_ids(spark, partitions):
     words = [f"w{i}" for i in range(40)]
     a, b, c = " ".join(words), " ".join(reversed(words)), " ".join(words[::2])
     near = lambda text: text + " more"
-    rows = [(5, a), (3, a), (5, b), (9, b), (9, near(b)), (4, near(a)), (7, c), (7, near(c)), (7, c), (2, c), (1, "alone"), (None, a), (None, a), (6, None), (6, "")]
+    rows = [(5, a), (3, a), (5, b), (9, b), (9, near(b)), (4, near(a)), (7, c), (7, near(c)), (7, c), (2, c), (2, c), (2, near(c)), (1, "alone"), (1, "alone"), (None, a), (None, a), (6, None), (6, "")]
     return spark.createDataFrame([(i, t, k, k, k, k, k, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _gone int, row int, gone int, _row int, id int, digest int").repartition(partitions)
 
 

@@ -72,19 +72,22 @@ def test_reduction_tree(spark, monkeypatch):
 @pytest.mark.parametrize("partitions", [1, 2, 3, 7])
 def test_rows_that_repeat_an_id_or_a_text_are_drawn_one_by_one(spark, partitions):
     """A document in two sources, and rows that agree in id, text and source but not in other columns."""
-    rows = [(1, "one two three", "a", 0), (1, "one two three", "b", 1)] + [(2, "four five", "b", k) for k in (2, 3, 4)] + [(10 + k, "w " * (k % 5 + 1), "abc"[k % 3], 100 + k) for k in range(60)]
+    rows = [(1, "one two three", "a", 0), (1, "one two three", "b", 1)] + [(2, "four five", "b", k) for k in (2, 3, 4, 4, 4)] + [(10 + k, "w " * (k % 5 + 1), "abc"[k % 3], 100 + k) for k in range(60)]
     schema = "doc_id long, text string, source string, _th long, _id int, _h int, _copies int, _copy int, row int, times int, drawn int"
     docs = spark.createDataFrame([(i, t, s, k, k, k, k, k, k, k, k) for i, t, s, k in rows], schema).repartition(partitions)
     out = mixing.mix_documents(docs)
     assert out.schema == docs.schema
     got = Counter(out.collect())
-    assert set(got) <= set(docs.collect()) and max(got.values()) <= 2
+    given = Counter(docs.collect())
+    assert set(got) <= set(given) and all(n <= 2 * given[r] for r, n in got.items())
     drawn = defaultdict(Counter)
     for r in mixing.copies(docs).collect():
         drawn[r.doc_id, r.source][r.copies] += 1
     for (i, s), by_copies in drawn.items():
-        seen = Counter(got.get(r, 0) for r in docs.collect() if (r.doc_id, r.source) == (i, s))
-        assert seen == by_copies
+        mine = [r for r in given if (r.doc_id, r.source) == (i, s)]
+        assert sum(got[r] for r in mine) == sum(c * n for c, n in by_copies.items())
+        if all(given[r] == 1 for r in mine):
+            assert Counter(got.get(r, 0) for r in mine) == by_copies
 
 
 def test_repairs_move_few_documents(spark, monkeypatch):
