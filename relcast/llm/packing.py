@@ -76,7 +76,8 @@ def pack_documents(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES) ->
     Documents longer than the largest capacity are cut there; the pieces of a
     document cover its words in order. A document without words (null or empty
     text) has one piece of length 0 and no bin. Null ids and repeated rows are
-    ordinary documents. Shards follow a hash of document and piece, so a very
+    ordinary documents. Other columns, whatever their names, are not read; an
+    empty table gives no rows. Shards follow a hash of document and piece, so a very
     long document spreads over many; only ids and lengths are shuffled.
     """
     largest = max(capacities)

@@ -179,7 +179,11 @@ def judge(docs: DataFrame, bands: Bands = BANDS, id_col: str = "doc_id", text_co
 
 
 def keep_documents(docs: DataFrame, bands: Bands = BANDS, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns; judged in place, so nothing is joined or shuffled."""
+    """The rows of ``docs`` that pass, with all their columns; judged in place, so nothing is joined or shuffled.
+
+    Null and empty texts do not pass. Null ids and repeated rows are judged
+    like others; columns may have any names. An empty table stays empty.
+    """
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf(T.BooleanType())
