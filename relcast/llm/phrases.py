@@ -180,10 +180,10 @@ def _texts(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select(lang.alias("lang"), F.xxhash64(lang).alias("salt"), F.pmod(F.xxhash64("text"), F.lit(shards)).alias("shard"), F.col("text").cast("string").alias("text"))
 
 
-def _slices_of(texts: pa.Array, salts: pa.Array, size: int = 0) -> Iterator[Words]:
+def _slices_of(texts: pa.Array, salts: pa.Array) -> Iterator[Words]:
     data, bounds = bytes_of(texts)
     salts = salts.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    for at, stop in slices(data, bounds, size):
+    for at, stop in slices(data, bounds):
         yield Words(data, bounds, at, stop, salts)
 
 
@@ -263,7 +263,7 @@ def _exact_counts(texts: DataFrame, longest: int, shared: list) -> DataFrame:
             names: dict[str, int] = {}
             codes = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.int64)
             langs = pa.array(list(names), pa.string())
-            for words in _slices_of(batch.column(2), batch.column(1), 2 * SLICE):
+            for words in _slices_of(batch.column(2), batch.column(1)):
                 lang, ids, label = codes[words.text], words.numbers(), None
                 text, start, end = words.data.tobytes(), words.start.tolist(), words.end.tolist()
                 total = np.bincount(lang, minlength=len(names))
@@ -320,7 +320,8 @@ def frequent(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, sh
     counted = written(counted.withColumn("phrase", F.col("phrase").cast("string")), "phrase-counts")
     for s in set(shared):
         s.destroy()
-    return counted.where("m > 0"), counted.where("m = 0").select("lang", "n")
+    # written apart, so that the planner knows how few languages there are
+    return counted.where("m > 0"), written(counted.where("m = 0").select("lang", "n"), "phrase-totals")
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, top: int = TOP, shards: int = SHARDS) -> DataFrame:
