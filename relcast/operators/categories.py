@@ -18,6 +18,14 @@ on each side; an edit outside leaves it as it is.) That is a bounded number of
 rows whatever the length. Lengths of a pair differ by two at most, so words of the
 two lengths around the limit are in both indexes, and any pair is in one.
 
+Both take hundreds of rows a word. In a large block (words with one phonetic
+key) a short window is enough if the words differ there: the first or the last
+WINDOW characters, with up to two dropped, are complete for words of any length,
+as a pair's windows leave the same text whatever happens outside them. What a
+window would cost, its rows and the pairs that meet, is measured over all words
+of the block beforehand; where it is more than the rows of the whole words (a
+shared ending, say), the block is indexed as above.
+
 The index holds hashes and numbers, no words. The pairs that meet are made
 distinct first; only then are the words joined back and tested, a bounded plain
 distance before the exact one.
@@ -25,6 +33,8 @@ distance before the exact one.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +46,14 @@ from relcast.session import materialise, release
 WHOLE = 50
 #: Characters of either end by which longer words are indexed.
 END = 24
+#: Characters of the one end by which the words of a large block may be indexed instead (56 rows at most).
+WINDOW = 10
+#: Blocks of so many words are measured; smaller ones cost little either way.
+BLOCK = 64
+#: Signed sums from which a block's meeting rows are estimated (within some 5%).
+CELLS = 1024
+#: Rows of the index in a task; in a small index so many, as far as there are cores.
+TASK_ROWS, SMALL_ROWS = 1_000_000, 50_000
 
 
 def _dropped(w: Column, n: Column, k: int) -> Column:
@@ -70,31 +88,106 @@ def end_variants(c, end: int = END) -> Column:
     return F.array_distinct(F.concat(*[pairs(_dropped(head, n, i), _dropped(tail, n, j)) for i in range(3) for j in range(3 - i)]))
 
 
+def index_rows(length: Column, whole: int = WHOLE, end: int = END) -> Column:
+    """Rows that a word of this length has in the indexes of whole words and of both ends (repeats included)."""
+    one = length * (length - 1) / 2 + length + 1
+    both = end * (2 * end - 1) + 2 * end + 1  # one or two of 2 * end characters
+    return F.when(length <= whole, one).otherwise(0) + F.when(length >= whole - 1, both).otherwise(0)
+
+
+def _window(side: Column, w: Column, window: int) -> Column:
+    return F.when(side == "head", F.substring(w, 1, window)).otherwise(F.substring(w, -window, window))
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """(pkey, side, met): of rows (pkey, side, key), the sum of squares of the keys' counts, estimated.
+
+    Every row counts, with a sign by its key, into one of CELLS sums; the sums'
+    squares have that expectation. What is shuffled is sums, whatever a key's rows.
+    """
+    sign = F.when(F.col("key") < 0, F.lit(-1)).otherwise(F.lit(1))
+    sums = rows.groupBy("pkey", "side", F.pmod(F.col("key"), F.lit(CELLS)).alias("cell")).agg(F.sum(sign).alias("s"))
+    return sums.groupBy("pkey", "side").agg(F.sum(F.pow("s", F.lit(2))).alias("met"))
+
+
+def window_blocks(keyed: DataFrame, whole: int = WHOLE, end: int = END, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """(pkey, side): the blocks of ``keyed`` (word, pkey) that are indexed by one end, and by which.
+
+    A block counts ``block`` words (distinct) at least. There are as many as
+    Soundex has codes at most, as input that is its own key is alone in its block.
+    """
+    length = F.length("word")
+    blocks = keyed.groupBy("pkey").agg(F.count(F.lit(1)).alias("words"), F.sum(index_rows(length, whole, end)).alias("rows")).where(F.col("words") >= block)
+    blocks = materialise(blocks.select("pkey", "rows"), "blocks")
+    words = keyed.join(F.broadcast(blocks.select("pkey")), "pkey")
+    # the end with fewer equal texts, of the characters that a window has left when two are dropped
+    ends = words.select("pkey", F.explode(F.array(F.lit("head"), F.lit("tail"))).alias("side"), "word")
+    ends = ends.select("pkey", "side", F.xxhash64(_window(F.col("side"), F.col("word"), window - 2)).alias("key"))
+    better = _meeting(ends).groupBy("pkey").agg(F.min(F.struct("met", "side")).alias("least")).select("pkey", F.col("least.side").alias("side"))
+    better = materialise(better, "ends")
+    texts = words.join(F.broadcast(better), "pkey").select("pkey", "side", _window(F.col("side"), F.col("word"), window).alias("text"))
+    texts = texts.repartition(3 * keyed.sparkSession.sparkContext.defaultParallelism)  # the vocabulary's files are few
+    variants = texts.select("pkey", "side", F.explode(deletion_variants("text")).alias("variant"))
+    cost = _meeting(variants.select("pkey", "side", F.xxhash64("variant").alias("key")))
+    found = materialise(cost.join(blocks, "pkey").where(F.col("met") < F.col("rows")).select("pkey", "side"), "window_blocks")
+    release(blocks)
+    release(better)
+    return found
+
+
 def vocab(df: DataFrame, word: str, key: str) -> DataFrame:
     """Per word the number of non-null keys; the null word is dropped."""
     return df.where(F.col(word).isNotNull()).groupBy(F.col(word).alias("word")).agg(F.count(key).alias("n"))
 
 
-def typo_candidates(words: DataFrame, whole: int = WHOLE, end: int = END) -> DataFrame:
+def typo_candidates(words: DataFrame, whole: int = WHOLE, end: int = END, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) with same phonetic key, distance < 3 and n_a > n_b.
 
     ``whole`` is the length up to which words are indexed whole (at least
-    2 * ``end`` + 2, so that the ends of longer words do not overlap). The joins of
-    the index are sort-merge joins: ``explode`` does not raise the planner's
-    size estimate, so it would broadcast an index far larger than it believes.
+    2 * ``end`` + 2, so that the ends of longer words do not overlap); ``window``
+    and ``block`` as in :func:`window_blocks`. The joins of the index are
+    sort-merge joins: ``explode`` does not raise the planner's size estimate, so
+    it would broadcast an index far larger than it believes.
     """
     if whole < 2 * end + 2:
         raise ValueError("the ends of words that are not indexed whole must not overlap")
+    if window < 3:
+        raise ValueError("a window must keep a character when two are dropped")
     # The vocabulary feeds every step: written once, so the aggregation is not repeated and its numbers stay.
     keyed = materialise(words.select("word", "n", phonetic_key("word").alias("pkey")).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
-    length = F.length("word")
-    row = ["id", "n", length.cast("int").alias("len")]
-    short = keyed.where(length <= whole).select(*row, "pkey", F.explode(deletion_variants("word")).alias("variant"), F.lit(0).alias("kind"))
-    long = keyed.where(length >= whole - 1).select(*row, "pkey", F.explode(end_variants("word", end)).alias("variant"), F.lit(1).alias("kind"))
-    index = short.unionAll(long).select("id", "n", "len", F.xxhash64("kind", "pkey", "variant").alias("key"))
-    a, b = index.alias("a"), index.alias("b").hint("merge")
-    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.n") > F.col("b.n")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 2)
-    met = a.join(b, meet).select(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).distinct()
+    found = window_blocks(keyed, whole, end, window, block)
+    sided, windows = keyed.withColumn("side", F.lit(None).cast("string")), not found.isEmpty()
+    if windows:
+        sided = materialise(keyed.join(F.broadcast(found), "pkey", "left").select(*keyed.columns, "side"), "vocabulary")
+        release(keyed)
+        keyed = sided
+    release(found)
+    length, by_window = F.length("word"), F.col("side").isNotNull()
+    rows = sided.agg(F.sum(F.when(by_window, window * (window + 1) // 2 + 1).otherwise(index_rows(length, whole, end)))).first()[0] or 0
+    # Tasks of bounded size on both sides of the shuffle, so that neither spills however few partitions the session has.
+    spark = words.sparkSession
+    tasks = math.ceil(rows / TASK_ROWS)
+    sided = sided.repartition(max(tasks, min(math.ceil(rows / SMALL_ROWS), spark.sparkContext.defaultParallelism), 1), "id")
+    row = ["id", "n", length.cast("int").alias("len"), "pkey"]
+    short = sided.where(~by_window & (length <= whole)).select(*row, F.explode(deletion_variants("word")).alias("variant"), F.lit(0).alias("kind"))
+    long = sided.where(~by_window & (length >= whole - 1)).select(*row, F.explode(end_variants("word", end)).alias("variant"), F.lit(1).alias("kind"))
+    if windows:
+        near = sided.where(by_window).withColumn("text", _window(F.col("side"), F.col("word"), window))
+        short = short.unionAll(near.select(*row, F.explode(deletion_variants("text")).alias("variant"), F.lit(2).alias("kind")))
+
+    def keys(index: DataFrame) -> DataFrame:
+        return index.select("id", "n", "len", F.xxhash64("kind", "pkey", "variant").alias("key"))
+
+    def meet(index: DataFrame) -> DataFrame:
+        a, b = index.alias("a"), index.alias("b").hint("merge")
+        same = (F.col("a.key") == F.col("b.key")) & (F.col("a.n") > F.col("b.n")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 2)
+        return a.join(b, same).select(F.col("a.id").alias("ia"), F.col("b.id").alias("ib"))
+
+    # Where the session's partitions would do, the planner deals the rows out. Long words that share both ends
+    # meet in one bucket: their join is always left to it, as it splits skewed partitions.
+    index = keys(short)
+    index = index.repartition(tasks, "key") if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else index
+    met = meet(index).unionAll(meet(keys(long))).distinct()
     side = lambda s: keyed.select(F.col("id").alias(f"id_{s}"), F.col("word").alias(s), F.col("n").alias(f"n_{s}"), F.col("pkey").alias(f"pkey_{s}"))
     pairs = met.join(side("a").hint("merge"), F.col("ia") == F.col("id_a")).join(side("b").hint("merge"), F.col("ib") == F.col("id_b"))
     near = (F.levenshtein("a", "b", 4) >= 0) & within_edits2("a", "b")
