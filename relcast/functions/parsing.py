@@ -8,6 +8,7 @@ with ``try_cast`` / ``try_to_date``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -77,6 +78,23 @@ def guessed_date(col: Column, fmt: str) -> Column:
     return F.when(F.year(parsed) >= 2000 + CENTURY_PIVOT, F.add_months(parsed, -1200)).otherwise(parsed)
 
 
+#: What the parts of a date format read, at the most: leading zeros and signs as the parser takes them.
+_DATE_PARTS = {"yyyy": "[+-]?[0-9]{4,}", "yy": "[+-]?[0-9]{2}", "M": "[+-]?0*(?:[1-9]|1[0-2])", "MM": "[+-]?0*(?:[1-9]|1[0-2])",
+               "d": "[+-]?0*(?:[1-9]|[12][0-9]|3[01])", "dd": "[+-]?0*(?:[1-9]|[12][0-9]|3[01])", "MMM": "[^0-9]+", "MMMM": "[^0-9]+"}
+
+
+def date_shape(fmt: str) -> str | None:
+    """A regular expression that matches every text that ``fmt`` reads, and few others; None if the format has other parts.
+
+    A failed parse throws and catches an exception, which costs many times a match.
+    """
+    parts = re.findall(r"[A-Za-z]+|[-/, .]+|.", fmt, re.DOTALL)
+    known = [_DATE_PARTS.get(x) if x.isalnum() else re.escape(x) for x in parts]
+    if any(k is None for k in known) or re.search(r"['\[\]#{}]", fmt):
+        return None
+    return f"^{''.join(known)}$"
+
+
 def parse_date_any(c, fmts: Sequence[str], strict: bool = False) -> Column:
     """The first of several declared formats that parses.
 

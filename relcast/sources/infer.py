@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relcast.functions.parsing import guessed_date
+from relcast.functions.parsing import date_shape, guessed_date
 from relcast.sources.csv import FILE_PATH, scan_csv
 
 #: Texts that stand for a missing value, besides blanks.
@@ -44,10 +44,10 @@ def value_class(v: Column, keep_padded: bool = True) -> Column:
     digits = F.length(F.regexp_replace(v, "^[+-]?0*", ""))
     number = v.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$")
     return (F.when(F.lower(v).isin("true", "false"), F.lit(_BOOLEAN))
-            .when(whole & padded & F.lit(keep_padded), F.lit(_TEXT))
-            .when(whole & v.try_cast("int").isNotNull(), F.lit(_INT))
-            .when(whole & v.try_cast("bigint").isNotNull(), F.lit(_LONG))
-            .when(whole & (digits <= 38), F.lit(_WHOLE))
+            .when(whole, F.when(padded & F.lit(keep_padded), F.lit(_TEXT))
+                  .when(v.try_cast("int").isNotNull(), F.lit(_INT))
+                  .when(v.try_cast("bigint").isNotNull(), F.lit(_LONG))
+                  .when(digits <= 38, F.lit(_WHOLE)).otherwise(F.lit(_DOUBLE)))
             .when(number, F.lit(_DOUBLE))
             .otherwise(F.lit(_TEXT)))
 
@@ -74,7 +74,7 @@ def _type_of(bits: Column) -> Column:
 def present(c: Column, na_values: Sequence[str] = NA_VALUES) -> Column:
     """The trimmed text of a value; null if it is blank or stands for a missing one."""
     v = F.trim(c.cast("string"))
-    return F.when((v != "") & ~v.isin(*na_values), v)
+    return F.when(~v.isin("", *na_values), v)
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None, formats: Sequence[str] = DATE_FORMATS,
@@ -85,17 +85,21 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None, formats: Se
     task that reads it. ``type`` is null for a column without values.
     ``format`` is the elected date format; ``rivals`` are formats that read all
     values too, but some of them as another date (then ``format`` is null).
+
+    A format is tried on texts of its shape only, as a parse that fails costs
+    most.
     """
     columns = list(df.columns if columns is None else columns)
     if not columns:
         raise ValueError("no columns to infer")
     cells = F.array(*[F.struct(F.lit(c).alias("column"), present(F.col(f"`{c}`"), na_values).alias("value")) for c in columns])
     long = df.select(F.inline(cells)).withColumn("like", F.col("value").rlike(_DATE_LIKE))
-    dates = [F.when(F.col("like"), guessed_date(F.col("value"), f)) for f in formats]
-    long = long.select("column", "value", *[d.alias(f"d{i}") for i, d in enumerate(dates)])
+    shaped = [F.col("like") if (shape := date_shape(f)) is None else F.col("like") & F.col("value").rlike(shape) for f in formats]
+    long = long.select("column", "value", "like", *[F.when(s, guessed_date(F.col("value"), f)).alias(f"d{i}") for i, (s, f) in enumerate(zip(shaped, formats))])
     pairs = [(i, j) for i in range(len(formats)) for j in range(i + 1, len(formats))]
     found = long.groupBy("column").agg(
-        F.bit_or(F.when(F.col("value").isNotNull(), value_class(F.col("value"), keep_padded))).alias("bits"),
+        # what looks like a date is no number
+        F.bit_or(F.when(F.col("value").isNotNull(), F.when(F.col("like"), F.lit(_TEXT)).otherwise(value_class(F.col("value"), keep_padded)))).alias("bits"),
         F.count("value").alias("n_values"),
         *[F.count(f"d{i}").alias(f"n{i}") for i in range(len(formats))],
         *[F.count(F.when(F.col(f"d{i}") != F.col(f"d{j}"), F.lit(1))).alias(f"x{i}_{j}") for i, j in pairs])

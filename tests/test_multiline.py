@@ -113,6 +113,27 @@ def test_date_elections(spark, values, fmt):
     assert inferred(spark, values) == ("date", fmt)
 
 
+def test_date_formats_are_tried_on_texts_of_their_shape(spark):
+    """A shape matches all that the format reads, and few texts of other formats (their failed parses cost most)."""
+    from pyspark.sql import functions as F
+
+    from relcast.functions.parsing import date_shape, guessed_date
+
+    rng = random.Random(6)
+    parts = ["1", "01", "001", "12", "13", "31", "32", "0", "95", "1995", "995", "12020", "0000001", "2020", "Jan", "jan", "MAY", "January", "Sept", "march", "x", "1a"]
+    texts = {"1/2/-2020", "1/2/--2020", "Jan 5, 2020", "May 05, 2020", "+2020/1/2", "1/2/+2020"}
+    for _ in range(20_000):
+        texts.add(rng.choice(parts) + rng.choice("-/ ") + rng.choice(parts) + rng.choice(["-", "/", ", ", " ", "--", ","]) + rng.choice(["1995", "95", "5", "005", "31", "0000"]))
+    df = spark.createDataFrame([(x,) for x in sorted(texts)], "v string").repartition(4)
+    formats = (*infer.DATE_FORMATS, "MM/dd/yyyy", "dd-MM-yy")
+    counts = [F.count_if(test).alias(f"{kind}{i}") for i, f in enumerate(formats) for kind, test in (
+        ("read", guessed_date(F.col("v"), f).isNotNull()), ("missed", guessed_date(F.col("v"), f).isNotNull() & ~F.col("v").rlike(date_shape(f))), ("tried", F.col("v").rlike(date_shape(f))))]
+    got = df.agg(*counts).first()
+    for i, f in enumerate(formats):
+        assert got[f"read{i}"] > 0 and got[f"missed{i}"] == 0 and got[f"tried{i}"] < len(texts) / 50, (f, got)
+    assert date_shape("yyyy-DDD") is None and date_shape("yyyy'x'") is None
+
+
 def test_ties_fail_unless_declared(spark):
     df = spark.createDataFrame([("1/5/2020", "2/3/2020"), ("3/4/2020", "2/30/2020")], "d string, e string")
     types = infer.infer_types(df)
